@@ -13,9 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomstar.plans import reports, warehouse
+from roomstar.plans import reports, serving, warehouse
 from roomstar.session import configure, work_dir
-from roomstar.sources.lake import fixture_events
+from roomstar.sources.lake import driver_table, fixture_events
 
 _BUILDS: dict[tuple[str, str], warehouse.Warehouse] = {}
 
@@ -37,6 +37,35 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
     return _BUILDS[key]
 
 
+_SERVING: dict[tuple[str, str], serving.Serving] = {}
+_ORDERS: dict[tuple[str, str], str] = {}
+
+# The order-date window of the month-pruning query (inclusive ISO dates).
+ORDERS_WINDOW = ("1996-03-15", "1996-09-10")
+
+
+def serving_for(spark: SparkSession, sf_dir: str) -> serving.Serving:
+    key = _key(spark, sf_dir)
+    if key not in _SERVING:
+        wh = warehouse_for(spark, sf_dir)
+        _SERVING[key] = serving.load(wh, work_dir(spark, "serving", _tag(sf_dir)))
+    return _SERVING[key]
+
+
+def orders_layout(spark: SparkSession, sf_dir: str) -> str:
+    configure(spark)
+    key = _key(spark, sf_dir)
+    if key not in _ORDERS:
+        path = work_dir(spark, "orders_by_month", _tag(sf_dir))
+        serving.write_orders_by_month(driver_table(spark, sf_dir, "orders"), path)
+        _ORDERS[key] = path
+    return _ORDERS[key]
+
+
+def _serve(fn) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf: fn(serving_for(spark, sf))
+
+
 def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf: warehouse_for(spark, sf).table(name)
 
@@ -57,4 +86,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_rooms_ranked": _report(reports.top_rooms_ranked),
     "gift_mix": _report(reports.gift_mix),
     "by_country": _report(reports.by_country),
+    "olap_detail": _serve(lambda s: s.detail()),
+    "olap_revenue_by_tier": _serve(serving.revenue_by_tier),
+    "olap_top_rooms": _serve(serving.top_rooms),
+    "olap_country": _serve(serving.country_breakdown),
+    "room_daily_rollup": _serve(serving.daily_rollup),
+    "olap_running_total": _serve(serving.running_total),
+    "rollup_reconcile": _serve(serving.rollup_reconcile),
+    "partition_rows": _serve(serving.partition_rows),
+    "partition_bytes": _serve(serving.partition_bytes),
+    "month_pruned_orders": lambda spark, sf: serving.orders_window_summary(
+        spark, orders_layout(spark, sf), *ORDERS_WINDOW),
 }
