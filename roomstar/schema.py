@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    IntegerType, StringType, StructField, StructType, TimestampType,
+    IntegerType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 # The event contract. Field names, order and types of one decoded event.
@@ -20,6 +20,19 @@ EVENT_SCHEMA = StructType([
     StructField("comment_len", IntegerType()),
 ])
 
+# Real-time metrics sink, one row per (window, room).
+METRICS_SCHEMA = StructType([
+    StructField("window_start", TimestampType()),
+    StructField("window_end", TimestampType()),
+    StructField("room_id", StringType()),
+    StructField("unique_viewers", LongType()),
+    StructField("events", LongType()),
+    StructField("gifts", LongType()),
+    StructField("coins", LongType()),
+    StructField("comments", LongType()),
+    StructField("last_ingest_ts", TimestampType()),
+])
+
 # Event types that have their own measure column in the fact.
 JOIN, COMMENT, GIFT = "join", "comment", "gift"
 
