@@ -30,7 +30,7 @@ CHECKS = [
 
 
 def violations(stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """(check, violations) for every check in CHECKS."""
+    """(check_name, violations) for every check in CHECKS."""
     fact_pass = fact.agg(
         F.coalesce(F.sum(F.when(any_null(*FACT_KEYS), 1)), F.lit(0)).alias("null_fact_keys"),
         F.coalesce(F.sum(F.when(F.col("coins") < 0, 1)), F.lit(0)).alias("negative_coins"),
@@ -46,25 +46,54 @@ def violations(stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> D
         F.col("_dups").cast("long").alias("duplicate_event_ids"),
         F.col("negative_coins").cast("long").alias("negative_coins"),
         F.abs(F.col("_events") - F.col("_rows")).cast("long").alias("staging_reconciliation"))
-    rows = [both.unpivot([], both.columns, "check", "violations")]
+    rows = [both.unpivot([], both.columns, "check_name", "violations")]
     for key in ["room_key", "user_key", "date_key", "gift_key"]:
         rows.append(orphans(fact.select(key), dims[_DIM_OF[key]], key)
                     .agg(F.count(F.lit(1)).cast("long").alias("violations"))
-                    .select(F.lit(f"orphan_{key}s").alias("check"), "violations"))
+                    .select(F.lit(f"orphan_{key}s").alias("check_name"), "violations"))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
 
 
+def inject_faults(stg: DataFrame, fact: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A deliberately broken copy of staging and fact, for exercising the checks:
+    staging gets one duplicated event; the fact gets four one-event rows cloned from its
+    first row (by key), with a null user key, an unknown room key, negative coins and an
+    unknown gift key. Expected violations: 1 null key, 1 duplicate, 1 orphan each of room,
+    user (the null) and gift, 1 negative, reconciliation off by 4 - 1 = 3."""
+    dup = stg.orderBy("event_id").limit(1)
+    first = fact.orderBy(*FACT_KEYS).limit(1).withColumn("event_count", F.lit(1).cast("long"))
+    broken = [
+        first.withColumn("user_key", F.lit(None).cast("long")),
+        first.withColumn("room_key", F.lit(-1).cast("long")),
+        first.withColumn("coins", F.lit(-5).cast("long")),
+        first.withColumn("gift_key", F.lit(-1).cast("long")),
+    ]
+    bad_fact = fact
+    for b in broken:
+        bad_fact = bad_fact.unionByName(b)
+    return stg.unionByName(dup), bad_fact
+
+
+def orphan_rows(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """The fact rows whose key has no dimension row, labelled with the missing key."""
+    out = None
+    for key in ["date_key", "room_key", "user_key", "gift_key"]:
+        part = orphans(fact, dims[_DIM_OF[key]], key).withColumn("missing_key", F.lit(key))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def quality_report(stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """G1: check, description, violations, status (PASS/FAIL), in CHECKS order."""
+    """G1: check_name, description, violations, status (PASS/FAIL), in CHECKS order."""
     spark = stg.sparkSession
     meta = spark.createDataFrame([(n, d, i) for i, (n, d) in enumerate(CHECKS)],
-                                 "check string, description string, _order int")
-    return (violations(stg, fact, dims).join(F.broadcast(meta), "check")
+                                 "check_name string, description string, _order int")
+    return (violations(stg, fact, dims).join(F.broadcast(meta), "check_name")
             .orderBy("_order")
-            .select("check", "description", "violations",
+            .select("check_name", "description", "violations",
                     F.when(F.col("violations") == 0, "PASS").otherwise("FAIL").alias("status")))
 
 

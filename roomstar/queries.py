@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomstar.functions.types import ntz_times
-from roomstar.plans import reports, serving, warehouse
+from roomstar.plans import quality, reports, serving, warehouse
 from roomstar.schema import METRICS_SCHEMA
 from roomstar.session import configure, work_dir
 from roomstar.sinks.events import to_json_lines, write_ndjson
@@ -111,6 +111,20 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ntz_times(decode(to_json_lines(fixture_events(spark, sf_dir)), "value"))
 
 
+def dq_report(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
+    wh = warehouse_for(spark, sf_dir)
+    stg, fact = wh.table("stg_events"), wh.table("fact_live_engagement")
+    if broken:
+        stg, fact = quality.inject_faults(stg, fact)
+    return quality.quality_report(stg, fact, wh.dims())
+
+
+def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse_for(spark, sf_dir)
+    _, fact = quality.inject_faults(wh.table("stg_events"), wh.table("fact_live_engagement"))
+    return quality.orphan_rows(fact, wh.dims())
+
+
 def _serve(fn) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf: fn(serving_for(spark, sf))
 
@@ -135,6 +149,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_rooms_ranked": _report(reports.top_rooms_ranked),
     "gift_mix": _report(reports.gift_mix),
     "by_country": _report(reports.by_country),
+    "dq_report": dq_report,
+    "dq_report_broken": lambda spark, sf: dq_report(spark, sf, broken=True),
+    "orphan_rows": orphan_rows,
     "olap_detail": _serve(lambda s: s.detail()),
     "olap_revenue_by_tier": _serve(serving.revenue_by_tier),
     "olap_top_rooms": _serve(serving.top_rooms),
