@@ -27,9 +27,3 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     LEFT JOIN ... WHERE dim.key IS NULL). Planned as an anti join, not outer join + filter."""
     return fact.join(dim.select(key), key, "left_anti")
 
-
-def scalar_difference(left: DataFrame, right: DataFrame, name: str) -> DataFrame:
-    """|a - b| of two one-row, one-column frames as a one-row frame."""
-    a, b = left.columns[0], right.columns[0]
-    return (left.withColumnRenamed(a, "_a").crossJoin(right.withColumnRenamed(b, "_b"))
-                .select(F.abs(F.col("_a") - F.col("_b")).cast("long").alias(name)))

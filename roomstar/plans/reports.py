@@ -96,3 +96,9 @@ def by_country(wh: Warehouse) -> DataFrame:
              .agg(F.countDistinct("user_key").alias("users"), F.sum("coins").alias("coins"),
                   F.sum("comments").alias("comments"))
              .orderBy(F.desc("coins"), F.asc_nulls_last("country")))
+
+
+def realtime_latest(metrics: DataFrame, n: int = 20) -> DataFrame:
+    """O3: the newest windows of the real-time sink, richest room first."""
+    return (metrics.select("window_start", "window_end", "room_id", "unique_viewers", "gifts", "coins")
+                   .orderBy(F.desc("window_start"), F.desc_nulls_last("coins"), "room_id").limit(n))

@@ -99,12 +99,6 @@ def realtime_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                             required=False)
 
 
-def latest_windows(metrics: DataFrame, n: int = 20) -> DataFrame:
-    """O3: the newest windows, richest room first."""
-    return (metrics.select("window_start", "window_end", "room_id", "unique_viewers", "gifts", "coins")
-                   .orderBy(F.desc("window_start"), F.desc_nulls_last("coins"), "room_id").limit(n))
-
-
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6 encode + S3 decode of every event (batch)."""
     configure(spark)
@@ -165,7 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         spark, orders_layout(spark, sf), *ORDERS_WINDOW),
     "stream_raw_append": lambda spark, sf: ntz_times(read_lake(spark, f"{stream_replay(spark, sf)}/lake")),
     "stream_room_windows": lambda spark, sf: ntz_times(realtime_metrics(spark, sf)),
-    "realtime_latest": lambda spark, sf: ntz_times(latest_windows(realtime_metrics(spark, sf))),
+    "realtime_latest": lambda spark, sf: ntz_times(reports.realtime_latest(realtime_metrics(spark, sf))),
     "stream_incremental_rollup": lambda spark, sf: stream_rollup.merged(
         spark.read.parquet(f"{stream_replay(spark, sf)}/rollup")),
     "json_roundtrip": json_roundtrip,

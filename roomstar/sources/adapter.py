@@ -36,7 +36,7 @@ def live_events(events: DataFrame) -> DataFrame:
     for src, dst in TYPE_MAP.items():
         etype = F.when(src_type == src, dst) if etype is None else etype.when(src_type == src, dst)
     is_gift = src_type == "purchase"
-    room_no = F.get_json_object("props", "$.k").cast("int") % ROOMS
+    room_no = F.get_json_object("props", "$.k").try_cast("int") % ROOMS
     return events.select(
         eid.cast("string").alias("event_id"),
         etype.otherwise(OTHER_TYPE).alias("event_type"),
@@ -59,7 +59,7 @@ SELECT CAST(event_id AS VARCHAR) AS event_id,
        ts AS event_ts,
        ts + to_seconds(CASE WHEN event_id % 100 < 3 THEN 20 + event_id % 71
                             ELSE event_id % 4 END) AS ingest_ts,
-       'room_' || lpad(CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 50 AS VARCHAR), 4, '0')
+       'room_' || lpad(CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 50 AS VARCHAR), 4, '0')
            AS room_id,
        'user_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS user_id,
        (['SG', 'VN', 'ID', 'MY', 'TH', 'PH'])[event_id % 6 + 1] AS country,
