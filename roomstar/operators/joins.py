@@ -5,19 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when its row count is known and below this bound;
-# otherwise the join is left to the shuffle join AQE picks (and splits when skewed).
-BROADCAST_MAX_ROWS = 2_000_000
+# A dimension is broadcast only when its row count is known (e.g. from the build
+# manifest) and its estimated size is under this bound; otherwise the join is left to the
+# shuffle join AQE plans (which it may still turn into a broadcast from runtime sizes, and
+# splits when skewed).
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+_WIDTH = {"string": 32, "binary": 32, "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4,
+          "date": 4, "float": 4}
 
 
-def max_broadcast_rows(spark) -> int:
-    return int(spark.conf.get("roomstar.broadcast.maxRows", str(BROADCAST_MAX_ROWS)))
+def max_broadcast_bytes(spark) -> int:
+    return int(spark.conf.get("roomstar.broadcast.maxBytes", str(BROADCAST_MAX_BYTES)))
+
+
+def row_width(df: DataFrame) -> int:
+    """Rough bytes per row of a frame's schema, plus per-row hash-table overhead."""
+    return 16 + sum(_WIDTH.get(f.dataType.simpleString(), 8) for f in df.schema.fields)
 
 
 def maybe_broadcast(dim: DataFrame, rows: int | None) -> DataFrame:
-    """Broadcast ``dim`` if ``rows`` (a known count, e.g. from the build manifest) is
-    within the bound; unknown size means no hint."""
-    if rows is not None and rows <= max_broadcast_rows(dim.sparkSession):
+    """Broadcast ``dim`` if ``rows`` (a known count) times its row width is within the
+    bound; an unknown size means no hint."""
+    if rows is not None and rows * row_width(dim) <= max_broadcast_bytes(dim.sparkSession):
         return F.broadcast(dim)
     return dim
 

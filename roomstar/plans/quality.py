@@ -29,18 +29,33 @@ CHECKS = [
 ]
 
 
+def duplicate_ids(stg: DataFrame, id_col: str = "event_id") -> DataFrame:
+    """One row ``_dups`` = COUNT(*) - COUNT(DISTINCT id), and ``_rows`` = COUNT(*).
+
+    Exact, in two steps so the big shuffle carries 8-byte hashes instead of id strings:
+    count rows per 64-bit hash of the non-null ids; only ids whose hash occurs more than
+    once (duplicates plus rare hash collisions) are re-grouped by the id itself to count
+    real copies. Every null id is a violation (COUNT(DISTINCT) skips nulls).
+    """
+    ids = stg.select(F.col(id_col)).where(F.col(id_col).isNotNull())
+    h = F.xxhash64(F.col(id_col))
+    shared = (ids.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") > 1).select("_h"))
+    cand = ids.withColumn("_h", h).join(shared, "_h", "left_semi")
+    extra = (cand.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
+                 .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_extra")))
+    rows = stg.agg(F.count(F.lit(1)).alias("_rows"), F.count(F.col(id_col)).alias("_ids"))
+    return extra.crossJoin(rows).select(
+        (F.col("_extra") + F.col("_rows") - F.col("_ids")).alias("_dups"), "_rows")
+
+
 def violations(stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """(check_name, violations) for every check in CHECKS."""
     fact_pass = fact.agg(
         F.coalesce(F.sum(F.when(any_null(*FACT_KEYS), 1)), F.lit(0)).alias("null_fact_keys"),
         F.coalesce(F.sum(F.when(F.col("coins") < 0, 1)), F.lit(0)).alias("negative_coins"),
         F.coalesce(F.sum("event_count"), F.lit(0)).alias("_events"))
-    # COUNT(*) - COUNT(DISTINCT id) = sum over ids of (copies - 1): a grouped count, which
-    # pre-aggregates on the map side instead of shipping every id to a distinct.
-    stg_pass = (stg.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n"))
-                   .agg(F.coalesce(F.sum(F.when(F.col("event_id").isNotNull(), F.col("_n") - 1)
-                                         .otherwise(F.col("_n"))), F.lit(0)).alias("_dups"),
-                        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows")))
+    stg_pass = duplicate_ids(stg)
     both = fact_pass.crossJoin(stg_pass).select(
         F.col("null_fact_keys").cast("long").alias("null_fact_keys"),
         F.col("_dups").cast("long").alias("duplicate_event_ids"),

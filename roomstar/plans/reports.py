@@ -24,12 +24,17 @@ def _dim(wh: Warehouse, name: str, *cols: str) -> DataFrame:
 
 
 def headline(wh: Warehouse) -> DataFrame:
+    """Totals plus distinct users and rooms. Each distinct count is its own aggregation
+    over one pruned column (pre-aggregated on the map side), instead of one Expand that
+    would copy every fact row once per distinct column."""
     f = wh.table(FACT)
-    return f.agg(F.sum("coins").alias("coins"), F.sum("gifts").alias("gifts"),
+    sums = f.agg(F.sum("coins").alias("coins"), F.sum("gifts").alias("gifts"),
                  F.sum("comments").alias("comments"),
-                 F.countDistinct("user_key").alias("users"),
-                 F.countDistinct("room_key").alias("rooms"),
                  F.round(F.avg("avg_ingest_lag_s"), LAG_DIGITS).alias("ingest_lag_s"))
+    users = f.select("user_key").distinct().agg(F.count("user_key").alias("users"))
+    rooms = f.select("room_key").distinct().agg(F.count("room_key").alias("rooms"))
+    return (sums.crossJoin(users).crossJoin(rooms)
+                .select("coins", "gifts", "comments", "users", "rooms", "ingest_lag_s"))
 
 
 def engagement_mix(wh: Warehouse) -> DataFrame:
