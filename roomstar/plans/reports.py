@@ -14,7 +14,7 @@ from roomstar.operators.joins import maybe_broadcast
 from roomstar.plans.warehouse import Warehouse
 from roomstar.schema import FACT, NO_GIFT
 
-# Report precision for averages (the reference rounds the headline lag to 2 places).
+# Report precision: the headline lag is shown with 2 decimals, other averages with 4.
 LAG_DIGITS = 2
 AVG_DIGITS = 4
 
@@ -44,7 +44,7 @@ def engagement_mix(wh: Warehouse) -> DataFrame:
 
 
 def avg_ingest_lag(wh: Warehouse) -> DataFrame:
-    """The unweighted mean of per-row means (the reference's number) and the mean over
+    """The unweighted mean of per-row means (the dashboard's number) and the mean over
     events (weighted by event_count); they differ whenever rows have unequal counts."""
     f = wh.table(FACT)
     return f.agg(
