@@ -10,7 +10,7 @@ merge states across loads, so the rollup is never stale relative to the detail.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,14 +51,25 @@ def room_daily_states(detail: DataFrame, load_id: int) -> DataFrame:
 
 @dataclass
 class Serving:
+    """Readers of the serving tables, made once and dropped whenever this process writes
+    to the layer (a reader keeps the file list it was made with)."""
     spark: SparkSession
     path: str
+    _readers: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+
+    def _read(self, name: str) -> DataFrame:
+        if name not in self._readers:
+            self._readers[name] = self.spark.read.parquet(f"{self.path}/{name}")
+        return self._readers[name]
+
+    def invalidate(self) -> None:
+        self._readers.clear()
 
     def detail(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{OLAP_DETAIL}")
+        return self._read(OLAP_DETAIL)
 
     def rollup(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{ROOM_DAILY}")
+        return self._read(ROOM_DAILY)
 
     def detail_between(self, lo: str, hi: str) -> DataFrame:
         return read_date_range(self.spark, f"{self.path}/{OLAP_DETAIL}", "event_date", lo, hi)
@@ -70,6 +81,7 @@ def load(wh: Warehouse, base: str, load_id: int = 0) -> Serving:
     write_partitioned_sorted(detail_rows(wh), f"{s.path}/{OLAP_DETAIL}", "ym", DETAIL_SORT)
     write_partitions_idempotent(room_daily_states(s.detail(), load_id),
                                 f"{s.path}/{ROOM_DAILY}", ["ym", "load_id"])
+    s.invalidate()
     return s
 
 
@@ -79,6 +91,7 @@ def append(s: Serving, rows: DataFrame, load_id: int) -> None:
     write_partitioned_sorted(rows, f"{s.path}/{OLAP_DETAIL}", "ym", DETAIL_SORT, mode="append")
     write_partitions_idempotent(room_daily_states(rows, load_id), f"{s.path}/{ROOM_DAILY}",
                                 ["ym", "load_id"])
+    s.invalidate()
 
 
 # ---------------------------------------------------------------- month pruning

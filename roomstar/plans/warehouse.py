@@ -107,13 +107,17 @@ def fact(stg: DataFrame, dims: dict[str, DataFrame],
 
 @dataclass
 class Warehouse:
-    """A published build: table paths and their row counts."""
+    """A published build: table paths and their row counts. A build never changes after
+    publication, so each table's reader (file listing, footer schema) is made once."""
     spark: SparkSession
     path: str
     rows: dict[str, int] = field(default_factory=dict)
+    _tables: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.path}/{name}")
+        return self._tables[name]
 
     def dims(self) -> dict[str, DataFrame]:
         return {n: self.table(n) for n in ("dim_date", "dim_room", "dim_user", "dim_gift")}

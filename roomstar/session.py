@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Merge small shuffle partitions up to the advisory size rather than keeping one per
+    # core: fewer, fuller tasks (the setting Spark's tuning guide gives for busy clusters).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 
