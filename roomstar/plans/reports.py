@@ -55,11 +55,13 @@ def avg_ingest_lag(wh: Warehouse) -> DataFrame:
 
 
 def _room_totals(wh: Warehouse) -> DataFrame:
-    f = wh.table(FACT).select("room_key", "user_key", "coins", "gifts")
-    return (f.join(_dim(wh, "dim_room", "room_key", "room_id"), "room_key")
-             .groupBy("room_id")
-             .agg(F.sum("coins").alias("coins"), F.sum("gifts").alias("gifts"),
-                  F.countDistinct("user_key").alias("users")))
+    """Per room: coins, gifts, distinct users. Grouped on the surrogate key first; the
+    dimension is joined to one row per room, not to every fact row."""
+    per_key = (wh.table(FACT).groupBy("room_key")
+                 .agg(F.sum("coins").alias("coins"), F.sum("gifts").alias("gifts"),
+                      F.countDistinct("user_key").alias("users")))
+    return (per_key.join(_dim(wh, "dim_room", "room_key", "room_id"), "room_key")
+                   .select("room_id", "coins", "gifts", "users"))
 
 
 def top_rooms(wh: Warehouse, n: int = 15) -> DataFrame:
@@ -85,22 +87,27 @@ def top_rooms_ranked(wh: Warehouse, n: int = 15) -> DataFrame:
 
 
 def gift_mix(wh: Warehouse) -> DataFrame:
-    f = wh.table(FACT).select("gift_key", "gifts", "coins")
+    """Per gift (names are unique per key, so no regrouping after the join)."""
+    per_key = (wh.table(FACT).groupBy("gift_key")
+                 .agg(F.sum("gifts").alias("sent"), F.sum("coins").alias("coins")))
     g = _dim(wh, "dim_gift", "gift_key", "gift_name", "gift_tier").where(F.col("gift_name") != NO_GIFT)
-    return (f.join(g, "gift_key")
-             .groupBy(F.col("gift_tier").alias("tier"), F.col("gift_name").alias("gift"))
-             .agg(F.sum("gifts").alias("sent"), F.sum("coins").alias("coins"))
-             .orderBy(F.desc("coins"), "tier", "gift"))
+    return (per_key.join(g, "gift_key")
+                   .select(F.col("gift_tier").alias("tier"), F.col("gift_name").alias("gift"),
+                           "sent", "coins")
+                   .orderBy(F.desc("coins"), "tier", "gift"))
 
 
 def by_country(wh: Warehouse) -> DataFrame:
-    f = wh.table(FACT).select("user_key", "coins", "comments")
+    """Per country of the user dimension. The fact is first reduced to one row per user,
+    so distinct users become a plain count and the user join sees one row per user."""
+    per_user = (wh.table(FACT).groupBy("user_key")
+                  .agg(F.sum("coins").alias("coins"), F.sum("comments").alias("comments")))
     u = _dim(wh, "dim_user", "user_key", "country")
-    return (f.join(u, "user_key")
-             .groupBy("country")
-             .agg(F.countDistinct("user_key").alias("users"), F.sum("coins").alias("coins"),
-                  F.sum("comments").alias("comments"))
-             .orderBy(F.desc("coins"), F.asc_nulls_last("country")))
+    return (per_user.join(u, "user_key")
+                    .groupBy("country")
+                    .agg(F.count("user_key").alias("users"), F.sum("coins").alias("coins"),
+                         F.sum("comments").alias("comments"))
+                    .orderBy(F.desc("coins"), F.asc_nulls_last("country")))
 
 
 def realtime_latest(metrics: DataFrame, n: int = 20) -> DataFrame:
