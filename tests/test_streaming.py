@@ -139,3 +139,31 @@ def test_aggregate_columns(spark):
     df = decode(spark.createDataFrame([(json.dumps(_event(1, _ts("00:05"))),)], "json string"))
     assert aggregate(df).columns == ["window_start", "window_end", "room_id", "unique_viewers",
                                      "events", "gifts", "coins", "comments", "last_ingest_ts"]
+
+
+def test_corrupt_lines_reach_lake_not_staging_or_windows(spark, scratch):
+    from roomstar.plans.warehouse import staging
+    indir = f"{scratch}/in"
+    good = [_event(1, _ts("00:05")), _event(2, _ts("02:00"))]
+    _write_batches(indir, [good + ["{broken", "null"]])
+    src = decode(file_stream(spark, indir))
+    raw_q = job.start_raw_sink(src, f"{scratch}/lake", f"{scratch}/ck1", available_now=True)
+    agg_q = job.start_metrics_sink(src, f"{scratch}/out", f"{scratch}/ck2", available_now=True)
+    raw_q.awaitTermination()
+    agg_q.awaitTermination()
+    lake = spark.read.parquet(f"{scratch}/lake")
+    assert lake.count() == 4 and undecodable(lake).count() == 2
+    assert staging(lake).count() == 2
+    out = spark.read.parquet(f"{scratch}/out")
+    assert out.agg(F.sum("events")).first()[0] == 1  # only window 00:00 is released
+
+
+def test_window_coins_stay_null_without_values(spark, scratch):
+    e = _event(1, _ts("00:05"))
+    e.pop("coins")
+    _write_batches(f"{scratch}/in", [[e, _event(2, _ts("02:00"))]])
+    q = job.start_metrics_sink(decode(file_stream(spark, f"{scratch}/in")), f"{scratch}/out",
+                               f"{scratch}/ck", available_now=True)
+    q.awaitTermination()
+    row = spark.read.parquet(f"{scratch}/out").first()
+    assert row["events"] == 1 and row["coins"] is None
