@@ -11,6 +11,8 @@ from conftest import SF001
 import __spark_entry__ as entry_mod
 
 TABLES = ["events", "orders"]
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 def _norm(v):
@@ -41,6 +43,8 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     perm = [ocols.index(c) for c in df.columns]
+    otypes = {d[0]: str(d[1]) for d in cur.description}
+    assert {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields} == otypes
     a = sorted((tuple(_norm(x) for x in r) for r in rows), key=_key)
     b = sorted((tuple(_norm(r[i]) for i in perm) for r in cur.fetchall()), key=_key)
     assert a == b
