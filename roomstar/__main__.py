@@ -56,6 +56,7 @@ def main(argv=None) -> int:
             p.add_argument("--available-now", action="store_true")
             p.add_argument("--window", default=WINDOW)
             p.add_argument("--watermark", default=WATERMARK)
+            p.add_argument("--rocksdb", action="store_true", help="RocksDB state store")
     lp = sub.add_parser("lineage")
     lp.add_argument("--column", default=None)
     lp.add_argument("--json", action="store_true")
@@ -90,6 +91,9 @@ def main(argv=None) -> int:
     if args.cmd == "produce":
         pipeline.produce(spark, args.sf, p.inbox)
     elif args.cmd == "stream":
+        if args.rocksdb:
+            from roomstar.streaming.job import use_rocksdb_state
+            use_rocksdb_state(spark)
         src = pipeline.source(spark, args.source, p.inbox, args.bootstrap)
         run = pipeline.stream(src, p, args.window, args.watermark, seconds=args.seconds,
                               available_now=args.available_now)

@@ -167,3 +167,17 @@ def test_window_coins_stay_null_without_values(spark, scratch):
     q.awaitTermination()
     row = spark.read.parquet(f"{scratch}/out").first()
     assert row["events"] == 1 and row["coins"] is None
+
+
+def test_windows_with_rocksdb_state(spark, scratch):
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    job.use_rocksdb_state(spark)
+    try:
+        batches = [[_event(1, _ts("00:05"))], [_event(2, _ts("02:00"))], [_event(3, _ts("02:10"))],
+                   [_event(4, _ts("00:06")), _event(5, _ts("02:20"))]]
+        got, dropped = _run_windows(spark, scratch, batches)
+        assert got["00:00"] == 1 and dropped == 1
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+        if old:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
