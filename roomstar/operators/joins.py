@@ -36,3 +36,14 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     LEFT JOIN ... WHERE dim.key IS NULL). Planned as an anti join, not outer join + filter."""
     return fact.join(dim.select(key), key, "left_anti")
 
+
+
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Columns of several one-row aggregates (distinct column names) side by side, as one
+    row: a union of the rows, other columns null, folded by taking each column's only
+    non-null value. No join is planned."""
+    cols = [c for f in frames for c in f.columns]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])

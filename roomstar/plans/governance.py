@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomstar.functions import qualify
+from roomstar.operators.joins import one_row
 from roomstar.schema import MODELS, STAGING
 
 # Column lineage of the six models in plans/warehouse.py (projection inputs
@@ -191,4 +192,5 @@ def governance_json(leaves: DataFrame, gaps: DataFrame) -> DataFrame:
     lineage = per_model.agg(F.map_from_entries(F.collect_list(F.struct("model", "cols"))).alias("lineage"))
     gapmap = (gaps.where(F.size("gaps") > 0)
                   .agg(F.map_from_entries(F.collect_list(F.struct("model", "gaps"))).alias("catalog_gaps")))
-    return lineage.crossJoin(gapmap).select(F.to_json(F.struct("lineage", "catalog_gaps")).alias("json"))
+    return one_row(lineage, gapmap).select(
+        F.to_json(F.struct("lineage", "catalog_gaps")).alias("json"))

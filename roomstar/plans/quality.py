@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomstar.functions import any_null
-from roomstar.operators.joins import orphans
+from roomstar.operators.joins import one_row, orphans
 
 FACT_KEYS = ["date_key", "room_key", "user_key", "gift_key"]
 _DIM_OF = {"date_key": "dim_date", "room_key": "dim_room", "user_key": "dim_user",
@@ -45,7 +45,7 @@ def duplicate_ids(stg: DataFrame, id_col: str = "event_id") -> DataFrame:
     extra = (cand.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
                  .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_extra")))
     rows = stg.agg(F.count(F.lit(1)).alias("_rows"), F.count(F.col(id_col)).alias("_ids"))
-    return extra.crossJoin(rows).select(
+    return one_row(extra, rows).select(
         (F.col("_extra") + F.col("_rows") - F.col("_ids")).alias("_dups"), "_rows")
 
 
@@ -56,7 +56,7 @@ def violations(stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> D
         F.coalesce(F.sum(F.when(F.col("coins") < 0, 1)), F.lit(0)).alias("negative_coins"),
         F.coalesce(F.sum("event_count"), F.lit(0)).alias("_events"))
     stg_pass = duplicate_ids(stg)
-    both = fact_pass.crossJoin(stg_pass).select(
+    both = one_row(fact_pass, stg_pass).select(
         F.col("null_fact_keys").cast("long").alias("null_fact_keys"),
         F.col("_dups").cast("long").alias("duplicate_event_ids"),
         F.col("negative_coins").cast("long").alias("negative_coins"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomstar.functions import rank_label, safe_ratio
-from roomstar.operators.joins import maybe_broadcast
+from roomstar.operators.joins import maybe_broadcast, one_row
 from roomstar.plans.warehouse import Warehouse
 from roomstar.schema import FACT, NO_GIFT
 
@@ -33,8 +33,8 @@ def headline(wh: Warehouse) -> DataFrame:
                  F.round(F.avg("avg_ingest_lag_s"), LAG_DIGITS).alias("ingest_lag_s"))
     users = f.select("user_key").distinct().agg(F.count("user_key").alias("users"))
     rooms = f.select("room_key").distinct().agg(F.count("room_key").alias("rooms"))
-    return (sums.crossJoin(users).crossJoin(rooms)
-                .select("coins", "gifts", "comments", "users", "rooms", "ingest_lag_s"))
+    return one_row(sums, users, rooms).select("coins", "gifts", "comments", "users", "rooms",
+                                              "ingest_lag_s")
 
 
 def engagement_mix(wh: Warehouse) -> DataFrame:

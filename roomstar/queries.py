@@ -13,8 +13,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import functions as F
-
 from roomstar.functions.types import ntz_times
 from roomstar.plans import quality, reports, serving, warehouse
 from roomstar.schema import METRICS_SCHEMA
