@@ -17,11 +17,11 @@ from roomstar.functions.types import ntz_times
 from roomstar.plans import quality, reports, serving, warehouse
 from roomstar.schema import METRICS_SCHEMA
 from roomstar.session import configure, work_dir
-from roomstar.sinks.events import to_json_lines, write_ndjson
+from roomstar.sinks.events import to_json_lines
 from roomstar.sources.lake import driver_table, fixture_events, read_lake, read_parquet_dir
-from roomstar.sources.stream import decode, file_stream
-from roomstar.streaming import job as stream_job
+from roomstar.sources.stream import decode
 from roomstar.streaming import rollup as stream_rollup
+from roomstar.streaming.replay import replay as stream_replay_run
 
 _BUILDS: dict[tuple[str, str], warehouse.Warehouse] = {}
 
@@ -72,22 +72,14 @@ _STREAMS: dict[tuple[str, str], str] = {}
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> str:
-    """Replay the fixture events through the real-time layer once: encode them as NDJSON
-    files (K6), then run the raw sink, the windowed sink and the incremental rollup over
-    that folder until all input is processed. A closed replay is one micro-batch (no
-    per-trigger file cap), so the result does not depend on the order the files are
-    listed in; multi-batch lateness is covered by the streaming tests."""
+    """Replay the fixture events through the real-time layer once (NDJSON files, then the
+    raw sink, the window sink and the incremental rollup), in event-time slices of bounded
+    size; see streaming/replay.py. Multi-batch lateness is covered by the streaming tests."""
     configure(spark)
     key = _key(spark, sf_dir)
     if key not in _STREAMS:
         base = work_dir(spark, "stream", _tag(sf_dir))
-        write_ndjson(fixture_events(spark, sf_dir), f"{base}/in")
-        src = decode(file_stream(spark, f"{base}/in", files_per_trigger=None))
-        stream_job.run(src, f"{base}/lake", f"{base}/room_metrics", f"{base}/_checkpoints",
-                       available_now=True)
-        q = stream_rollup.start(src, f"{base}/rollup", f"{base}/_checkpoints/rollup",
-                                available_now=True)
-        q.awaitTermination()
+        stream_replay_run(fixture_events(spark, sf_dir), base)
         _STREAMS[key] = base
     return _STREAMS[key]
 

@@ -181,3 +181,20 @@ def test_windows_with_rocksdb_state(spark, scratch):
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
         if old:
             spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+
+
+def test_sliced_replay_equals_one_batch(spark, scratch):
+    from conftest import SF001
+    from roomstar.sources.lake import fixture_events
+    from roomstar.streaming.replay import replay
+    ev = fixture_events(spark, SF001)
+    assert replay(ev, f"{scratch}/one") == 0
+    assert replay(ev, f"{scratch}/four", rows_per_batch=300) == 0
+    assert len([p for p in os.listdir(f"{scratch}/four/_slices") if p.startswith("_slice=")]) == 4
+    for sub in ["lake", "room_metrics"]:
+        a = spark.read.parquet(f"{scratch}/one/{sub}")
+        b = spark.read.parquet(f"{scratch}/four/{sub}")
+        assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+    ra = rollup.merged(spark.read.parquet(f"{scratch}/one/rollup"))
+    rb = rollup.merged(spark.read.parquet(f"{scratch}/four/rollup"))
+    assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
