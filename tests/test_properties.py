@@ -1,7 +1,6 @@
 """Properties from the test strategy: stream = batch when nothing is late; dense keys."""
 
 import datetime as dt
-import json
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
