@@ -5,6 +5,7 @@
     warehouse  --root DIR                       build + quality gate (exit 1 on failure)
     serve      --root DIR                       serving layout, rollup, serving queries
     report     --root DIR                       dashboard tiles and the quality panel
+    compact    --root DIR --upto N              fold rollup loads <= N into one generation
     lineage    [--column NAME] [--json]         lineage, impact, catalog gaps
     all        --sf DIR --root DIR              every step above, in order
 """
@@ -57,6 +58,9 @@ def main(argv=None) -> int:
             p.add_argument("--window", default=WINDOW)
             p.add_argument("--watermark", default=WATERMARK)
             p.add_argument("--rocksdb", action="store_true", help="RocksDB state store")
+    cp = sub.add_parser("compact")
+    cp.add_argument("--root", required=True)
+    cp.add_argument("--upto", type=int, required=True)
     lp = sub.add_parser("lineage")
     lp.add_argument("--column", default=None)
     lp.add_argument("--json", action="store_true")
@@ -88,7 +92,11 @@ def main(argv=None) -> int:
         return 0
 
     p = pipeline.Paths(args.root)
-    if args.cmd == "produce":
+    if args.cmd == "compact":
+        from roomstar.plans import serving as S
+        gen = S.Serving(spark, p.serving).compact_rollup(args.upto)
+        print(f"rollup generation {gen} committed")
+    elif args.cmd == "produce":
         pipeline.produce(spark, args.sf, p.inbox)
     elif args.cmd == "stream":
         if args.rocksdb:

@@ -20,7 +20,8 @@ from roomstar.operators import sketches
 from roomstar.operators.joins import maybe_broadcast
 from roomstar.plans.warehouse import Warehouse
 from roomstar.schema import FACT, OLAP_DETAIL, ROOM_DAILY
-from roomstar.sinks.files import write_partitioned_sorted, write_partitions_idempotent
+from roomstar.sinks import states
+from roomstar.sinks.files import write_partitioned_sorted
 
 DETAIL_SORT = ["event_date", "room_id", "user_id"]
 DETAIL_COLUMNS = ["event_date", "room_id", "user_id", "gift_name", "gift_tier", "country",
@@ -69,7 +70,15 @@ class Serving:
         return self._read(OLAP_DETAIL)
 
     def rollup(self) -> DataFrame:
-        return self._read(ROOM_DAILY)
+        """Rollup states visible now (committed compaction + uncovered loads)."""
+        if ROOM_DAILY not in self._readers:
+            self._readers[ROOM_DAILY] = states.read(self.spark, f"{self.path}/{ROOM_DAILY}")
+        return self._readers[ROOM_DAILY]
+
+    def compact_rollup(self, upto_load_id: int) -> int:
+        gen = states.compact(self.spark, f"{self.path}/{ROOM_DAILY}", upto_load_id)
+        self.invalidate()
+        return gen
 
     def detail_between(self, lo: str, hi: str) -> DataFrame:
         return read_date_range(self.spark, f"{self.path}/{OLAP_DETAIL}", "event_date", lo, hi)
@@ -79,8 +88,7 @@ def load(wh: Warehouse, base: str, load_id: int = 0) -> Serving:
     """Full refresh of the serving layer from a published warehouse build."""
     s = Serving(wh.spark, base.rstrip("/"))
     write_partitioned_sorted(detail_rows(wh), f"{s.path}/{OLAP_DETAIL}", "ym", DETAIL_SORT)
-    write_partitions_idempotent(room_daily_states(s.detail(), load_id),
-                                f"{s.path}/{ROOM_DAILY}", ["ym", "load_id"])
+    states.write_load(room_daily_states(s.detail(), load_id), f"{s.path}/{ROOM_DAILY}")
     s.invalidate()
     return s
 
@@ -89,8 +97,7 @@ def append(s: Serving, rows: DataFrame, load_id: int) -> None:
     """K5 + insert trigger: append detail rows and write the rollup states of exactly these
     rows under ``load_id``. Re-running a load replaces its states, never doubles them."""
     write_partitioned_sorted(rows, f"{s.path}/{OLAP_DETAIL}", "ym", DETAIL_SORT, mode="append")
-    write_partitions_idempotent(room_daily_states(rows, load_id), f"{s.path}/{ROOM_DAILY}",
-                                ["ym", "load_id"])
+    states.write_load(room_daily_states(rows, load_id), f"{s.path}/{ROOM_DAILY}")
     s.invalidate()
 
 

@@ -17,6 +17,7 @@ from roomstar.functions.types import ntz_times
 from roomstar.plans import quality, reports, serving, warehouse
 from roomstar.schema import METRICS_SCHEMA
 from roomstar.session import configure, work_dir
+from roomstar.sinks import states as state_store
 from roomstar.sinks.events import to_json_lines
 from roomstar.sources.lake import driver_table, fixture_events, read_lake, read_parquet_dir
 from roomstar.sources.stream import decode
@@ -151,6 +152,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_room_windows": lambda spark, sf: ntz_times(realtime_metrics(spark, sf)),
     "realtime_latest": lambda spark, sf: ntz_times(reports.realtime_latest(realtime_metrics(spark, sf))),
     "stream_incremental_rollup": lambda spark, sf: stream_rollup.merged(
-        spark.read.parquet(f"{stream_replay(spark, sf)}/rollup")),
+        state_store.read(spark, f"{stream_replay(spark, sf)}/rollup")),
     "json_roundtrip": json_roundtrip,
 }

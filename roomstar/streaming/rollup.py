@@ -16,7 +16,7 @@ from roomstar.functions import indicator, year_month
 from roomstar.operators import sketches
 from roomstar.plans.warehouse import staging
 from roomstar.schema import COMMENT, GIFT, TRIGGER
-from roomstar.sinks.files import write_partitions_idempotent
+from roomstar.sinks import states as state_store
 
 
 def event_states(events: DataFrame, load_id: int) -> DataFrame:
@@ -33,7 +33,7 @@ def event_states(events: DataFrame, load_id: int) -> DataFrame:
 
 
 def write_batch(events: DataFrame, batch_id: int, out: str) -> None:
-    write_partitions_idempotent(event_states(events, batch_id), out, ["ym", "load_id"])
+    state_store.write_load(event_states(events, batch_id), out)
 
 
 def start(events: DataFrame, out: str, checkpoint: str, trigger: str | None = TRIGGER,

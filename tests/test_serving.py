@@ -74,3 +74,29 @@ def test_formatting(spark):
     r = df.select(readable_size("b").alias("s"), rank_label("r", "n").alias("l"),
                   thousands("b").alias("t")).first()
     assert (r["s"], r["l"], r["t"]) == ("55.80 KiB", "03 room_0007", "57,139")
+
+
+def test_rollup_compaction_is_invisible_until_committed(spark, scratch):
+    from roomstar.sinks import states
+    s0 = serving_for(spark, SF001)
+    detail = s0.detail()
+    want = sorted(map(tuple, serving.daily_rollup(s0, None).collect()))
+    s = serving.Serving(spark, scratch)
+    parts = [detail.where(F.col("coins") >= 100), detail.where((F.col("coins") < 100) & (F.col("coins") > 0)),
+             detail.where(F.col("coins") == 0)]
+    for i, p in enumerate(parts, 1):
+        serving.append(s, p, i)
+    assert s.compact_rollup(2) == 1
+    assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
+    # replaying a covered load changes nothing; a second generation folds in load 3
+    states.write_load(serving.room_daily_states(parts[1], 2), f"{scratch}/agg_room_daily")
+    s.invalidate()
+    assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
+    assert s.compact_rollup(3) == 2
+    assert s.rollup().select("load_id").distinct().count() == 1
+    assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
+    # a generation without its marker is not read
+    spark.read.parquet(f"{scratch}/agg_room_daily/_compacted/gen=2").write.parquet(
+        f"{scratch}/agg_room_daily/_compacted/gen=3")
+    s.invalidate()
+    assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
