@@ -7,9 +7,11 @@ checkpoints. Every event of slice i+1 is later than every event of slice i, so n
 late, the window state only holds windows near the current slice, and the result equals
 one batch over all events: every window ending at or before max(event time) - watermark.
 
-Slices are cut on event time at equal widths between the min and max time; the slice
-column is computed once and the slices are staged partitioned by it, so each step reads
-only its own slice.
+Slices are cut at approximate event-time quantiles, so a burst that holds a third of all
+events is spread over many slices instead of forming one huge batch (only events sharing
+one timestamp stay together). The k-1 cut points are the only values that reach the
+driver; each row finds its slice by a binary search written as nested conditions, and
+the slices are staged partitioned by it, so each step reads only its own slice.
 """
 
 from __future__ import annotations
@@ -30,11 +32,22 @@ def slice_count(rows: int, rows_per_batch: int) -> int:
     return max(1, math.ceil(rows / rows_per_batch))
 
 
-def with_slices(events: DataFrame, k: int, lo, hi) -> DataFrame:
-    """Equal-width event-time slices 0..k-1 between lo and hi (epoch microseconds)."""
+def _search(t, cuts: list[int], lo: int, hi: int):
+    """Slice index in [lo, hi] of t: the number of cut points <= t."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(t < F.lit(cuts[mid]), _search(t, cuts, lo, mid)).otherwise(
+        _search(t, cuts, mid + 1, hi))
+
+
+def with_slices(events: DataFrame, k: int) -> DataFrame:
+    """Column ``_slice`` in 0..k-1 at approximate event-time quantiles."""
     t = F.unix_micros(F.col("event_ts"))
-    width = max(1, math.ceil((hi - lo + 1) / k))
-    return events.withColumn("_slice", F.least(F.lit(k - 1), ((t - F.lit(lo)) / F.lit(width)).cast("int")))
+    probs = [i / k for i in range(1, k)]
+    cuts = events.agg(F.percentile_approx(t, probs, 10_000).alias("q")).first()["q"]
+    cuts = sorted(set(cuts))
+    return events.withColumn("_slice", _search(t, cuts, 0, len(cuts)))
 
 
 def replay(events: DataFrame, base: str, rows_per_batch: int | None = None) -> int:
@@ -44,15 +57,13 @@ def replay(events: DataFrame, base: str, rows_per_batch: int | None = None) -> i
     spark = events.sparkSession
     per = rows_per_batch or int(spark.conf.get("roomstar.replay.rowsPerBatch", str(ROWS_PER_BATCH)))
     ev = events.where(F.col("event_ts").isNotNull())
-    stats = ev.agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_micros("event_ts")).alias("lo"),
-                   F.max(F.unix_micros("event_ts")).alias("hi")).first()
-    k = slice_count(stats["n"], per)
+    k = slice_count(ev.count(), per)
     undated = events.where(F.col("event_ts").isNull())
     if k == 1:
         slices = [events]
     else:
         staged = f"{base}/_slices"
-        with_slices(ev, k, stats["lo"], stats["hi"]).write.mode("overwrite").partitionBy("_slice").parquet(staged)
+        with_slices(ev, k).write.mode("overwrite").partitionBy("_slice").parquet(staged)
         part = spark.read.parquet(staged)
         slices = [part.where(F.col("_slice") == i).drop("_slice") for i in range(k)]
         slices[0] = slices[0].unionByName(undated)
