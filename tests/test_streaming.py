@@ -203,8 +203,8 @@ def test_sliced_replay_equals_one_batch(spark, scratch):
 def test_replay_slices_split_a_burst(spark):
     from roomstar.streaming.replay import with_slices
     # a third of the events fall inside one minute; the rest spread over a day
-    rows = [(i, f"2024-01-01 00:{i % 60:02d}:{(i // 60) % 60:02d}") for i in range(3000)]
-    rows += [(3000 + i, f"2024-01-01 {1 + i // 250:02d}:{(i // 5) % 60:02d}:00") for i in range(6000)]
+    rows = [(i, f"2024-01-01 00:00:{i % 60:02d}") for i in range(3000)]
+    rows += [(3000 + i, f"2024-01-01 {1 + i // 261:02d}:{(i // 5) % 60:02d}:00") for i in range(6000)]
     df = spark.createDataFrame(rows, "id long, ts string").select(
         "id", F.to_timestamp("ts").alias("event_ts"))
     sizes = [r["count"] for r in with_slices(df, 6).groupBy("_slice").count().collect()]
