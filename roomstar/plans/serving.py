@@ -1,10 +1,11 @@
 """OLAP serving layer: the flattened fact in a month-partitioned sorted layout, a rollup
 of mergeable per-(day, room) states maintained with every load, and the serving queries.
 
-Layout: ``<base>/olap_detail/ym=YYYYMM/*.parquet`` sorted by (event_date, room_id, user_id)
-and ``<base>/agg_room_daily/ym=YYYYMM/load_id=N/*.parquet`` holding partial sums and HLL
-sketches. A load writes its detail rows and the states of exactly those rows; readers
-merge states across loads, so the rollup is never stale relative to the detail.
+Layout: ``<base>/olap_detail/ym=YYYYMM/load_id=N/*.parquet`` sorted by (event_date, room_id,
+user_id) and ``<base>/agg_room_daily/ym=YYYYMM/load_id=N/*.parquet`` holding partial sums and
+HLL sketches. A load writes its detail rows and the states of exactly those rows, both
+replacing only that load's partitions, so re-running a load never duplicates anything;
+readers merge states across loads, so the rollup is never stale relative to the detail.
 """
 
 from __future__ import annotations
@@ -84,19 +85,25 @@ class Serving:
         return read_date_range(self.spark, f"{self.path}/{OLAP_DETAIL}", "event_date", lo, hi)
 
 
+def _with_load(rows: DataFrame, load_id: int) -> DataFrame:
+    return rows.select(*DETAIL_COLUMNS, "ym", F.lit(load_id).cast("long").alias("load_id"))
+
+
 def load(wh: Warehouse, base: str, load_id: int = 0) -> Serving:
     """Full refresh of the serving layer from a published warehouse build."""
     s = Serving(wh.spark, base.rstrip("/"))
-    write_partitioned_sorted(detail_rows(wh), f"{s.path}/{OLAP_DETAIL}", "ym", DETAIL_SORT)
+    write_partitioned_sorted(_with_load(detail_rows(wh), load_id), f"{s.path}/{OLAP_DETAIL}",
+                             ["ym", "load_id"], DETAIL_SORT)
     states.write_load(room_daily_states(s.detail(), load_id), f"{s.path}/{ROOM_DAILY}")
     s.invalidate()
     return s
 
 
 def append(s: Serving, rows: DataFrame, load_id: int) -> None:
-    """K5 + insert trigger: append detail rows and write the rollup states of exactly these
-    rows under ``load_id``. Re-running a load replaces its states, never doubles them."""
-    write_partitioned_sorted(rows, f"{s.path}/{OLAP_DETAIL}", "ym", DETAIL_SORT, mode="append")
+    """K5 + insert trigger: add detail rows and the rollup states of exactly these rows
+    under ``load_id``. Re-running a load replaces its partitions, never doubles them."""
+    write_partitioned_sorted(_with_load(rows, load_id), f"{s.path}/{OLAP_DETAIL}",
+                             ["ym", "load_id"], DETAIL_SORT, dynamic=True)
     states.write_load(room_daily_states(rows, load_id), f"{s.path}/{ROOM_DAILY}")
     s.invalidate()
 

@@ -137,7 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_report": dq_report,
     "dq_report_broken": lambda spark, sf: dq_report(spark, sf, broken=True),
     "orphan_rows": orphan_rows,
-    "olap_detail": _serve(lambda s: s.detail()),
+    "olap_detail": _serve(lambda s: s.detail().drop("load_id")),
     "olap_revenue_by_tier": _serve(serving.revenue_by_tier),
     "olap_top_rooms": _serve(serving.top_rooms),
     "olap_country": _serve(serving.country_breakdown),

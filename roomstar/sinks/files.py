@@ -14,22 +14,24 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned_sorted(df: DataFrame, path: str, partition_col: str,
+def write_partitioned_sorted(df: DataFrame, path: str, partition_cols: str | list[str],
                              sort_cols: list[str], mode: str = "overwrite",
-                             rows_per_file: int = ROWS_PER_FILE) -> None:
-    """K4: Hive-style partitions on ``partition_col``, rows sorted by the sort key.
+                             dynamic: bool = False, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """K4: Hive-style partitions, rows sorted by the sort key inside them.
 
-    Range partitioning on (partition, sort key) instead of hash on the partition value:
+    Range partitioning on (partitions, sort key) instead of hash on the partition value:
     a month holding a third of all rows is split over many writer tasks, and every file
     covers one contiguous key range, so Parquet min/max statistics skip row groups for
     predicates on a prefix of the sort key. AQE may merge small ranges; it never breaks
-    their order.
+    their order. ``dynamic`` replaces only the partitions present in ``df``.
     """
-    keys = [partition_col, *sort_cols]
+    parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
+    keys = [*parts, *sort_cols]
     (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
        .write.mode(mode)
+       .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
        .option("maxRecordsPerFile", rows_per_file)
-       .partitionBy(partition_col)
+       .partitionBy(*parts)
        .parquet(path))
 
 
