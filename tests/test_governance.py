@@ -94,3 +94,12 @@ def test_governance_json(spark, edges):
                                        g.catalog_gaps(models, g.catalog_table(spark))).first()["json"])
     assert doc["catalog_gaps"] == {"dim_user": ["classification"]}
     assert doc["lineage"]["dim_gift"]["coin_value"] == ["stg_events.coins"]
+
+
+def test_cli_impact_json(spark, capsys):
+    import json
+    from roomstar.__main__ import main
+    assert main(["lineage", "--column", "coins", "--json"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out == {"column": "stg_events.coins", "impact": {"dim_gift": ["coin_value", "gift_tier"],
+                                                 "fact_live_engagement": ["coins"]}}
