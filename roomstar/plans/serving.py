@@ -25,6 +25,7 @@ from roomstar.sinks import states
 from roomstar.sinks.files import write_partitioned_sorted
 
 DETAIL_SORT = ["event_date", "room_id", "user_id"]
+DETAIL_BLOOM = ["user_id"]  # user lookups across dates and rooms
 DETAIL_COLUMNS = ["event_date", "room_id", "user_id", "gift_name", "gift_tier", "country",
                   "event_count", "joins", "comments", "gifts", "coins"]
 
@@ -93,7 +94,7 @@ def load(wh: Warehouse, base: str, load_id: int = 0) -> Serving:
     """Full refresh of the serving layer from a published warehouse build."""
     s = Serving(wh.spark, base.rstrip("/"))
     write_partitioned_sorted(_with_load(detail_rows(wh), load_id), f"{s.path}/{OLAP_DETAIL}",
-                             ["ym", "load_id"], DETAIL_SORT)
+                             ["ym", "load_id"], DETAIL_SORT, bloom_cols=DETAIL_BLOOM)
     states.write_load(room_daily_states(s.detail(), load_id), f"{s.path}/{ROOM_DAILY}")
     s.invalidate()
     return s
@@ -103,7 +104,7 @@ def append(s: Serving, rows: DataFrame, load_id: int) -> None:
     """K5 + insert trigger: add detail rows and the rollup states of exactly these rows
     under ``load_id``. Re-running a load replaces its partitions, never doubles them."""
     write_partitioned_sorted(_with_load(rows, load_id), f"{s.path}/{OLAP_DETAIL}",
-                             ["ym", "load_id"], DETAIL_SORT, dynamic=True)
+                             ["ym", "load_id"], DETAIL_SORT, dynamic=True, bloom_cols=DETAIL_BLOOM)
     states.write_load(room_daily_states(rows, load_id), f"{s.path}/{ROOM_DAILY}")
     s.invalidate()
 

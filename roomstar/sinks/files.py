@@ -16,23 +16,27 @@ def replace_table(df: DataFrame, path: str) -> None:
 
 def write_partitioned_sorted(df: DataFrame, path: str, partition_cols: str | list[str],
                              sort_cols: list[str], mode: str = "overwrite",
-                             dynamic: bool = False, rows_per_file: int = ROWS_PER_FILE) -> None:
+                             dynamic: bool = False, rows_per_file: int = ROWS_PER_FILE,
+                             bloom_cols: list[str] | None = None) -> None:
     """K4: Hive-style partitions, rows sorted by the sort key inside them.
 
     Range partitioning on (partitions, sort key) instead of hash on the partition value:
     a month holding a third of all rows is split over many writer tasks, and every file
     covers one contiguous key range, so Parquet min/max statistics skip row groups for
     predicates on a prefix of the sort key. AQE may merge small ranges; it never breaks
-    their order. ``dynamic`` replaces only the partitions present in ``df``.
+    their order. ``dynamic`` replaces only the partitions present in ``df``. ``bloom_cols``
+    get Parquet bloom filters, for equality lookups that min/max statistics cannot prune
+    (a column that is not a prefix of the sort key).
     """
     parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     keys = [*parts, *sort_cols]
-    (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-       .write.mode(mode)
-       .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-       .option("maxRecordsPerFile", rows_per_file)
-       .partitionBy(*parts)
-       .parquet(path))
+    w = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+           .write.mode(mode)
+           .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+           .option("maxRecordsPerFile", rows_per_file))
+    for c in bloom_cols or []:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.partitionBy(*parts).parquet(path)
 
 
 def write_partitions_idempotent(df: DataFrame, path: str, partition_cols: list[str]) -> None:

@@ -98,3 +98,23 @@ def test_rollup_compaction_is_invisible_until_committed(spark, scratch):
         f"{scratch}/agg_room_daily/_compacted/gen=3")
     s.invalidate()
     assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
+
+
+def test_bloom_filter_written_for_high_cardinality_users(spark, scratch):
+    """parquet-mr skips the filter when a chunk is fully dictionary-encoded (few users);
+    with many distinct users the dictionary gives up and the bloom filter is written."""
+    import glob
+    from roomstar.sinks.files import write_partitioned_sorted
+    df = spark.range(300_000).select(F.lit(202401).alias("ym"),
+                                     F.format_string("user_%09d", F.col("id")).alias("user_id"),
+                                     F.col("id").alias("coins"))
+    write_partitioned_sorted(df, f"{scratch}/t", "ym", ["user_id"], bloom_cols=["user_id"])
+    f = glob.glob(f"{scratch}/t/ym=*/*.parquet")[0]
+    jvm = spark.sparkContext._jvm  # footer read through parquet-mr, test only
+    footer = jvm.org.apache.parquet.hadoop.ParquetFileReader.readFooter(
+        spark.sparkContext._jsc.hadoopConfiguration(), jvm.org.apache.hadoop.fs.Path(f))
+    cols = {c.getPath().toDotString(): c.getBloomFilterOffset()
+            for c in footer.getBlocks().get(0).getColumns()}
+    assert cols["user_id"] >= 0 and cols["coins"] < 0
+    got = spark.read.parquet(f"{scratch}/t").where(F.col("user_id") == "user_000000042").count()
+    assert got == 1
