@@ -67,7 +67,7 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     spark = _spark(args)
-    from roomstar.plans import pipeline, quality, reports, warehouse
+    from roomstar.plans import quality, reports, runner, warehouse
     if args.cmd == "lineage":
         from roomstar.plans import governance as g
         from roomstar.schema import MODELS
@@ -92,28 +92,28 @@ def main(argv=None) -> int:
         _show("catalog gaps", gaps)
         return 0
 
-    p = pipeline.Paths(args.root)
+    p = runner.Paths(args.root)
     if args.cmd == "compact":
         from roomstar.plans import serving as S
         gen = S.Serving(spark, p.serving).compact_rollup(args.upto)
         print(f"rollup generation {gen} committed")
     elif args.cmd == "produce":
-        pipeline.produce(spark, args.sf, p.inbox)
+        runner.produce(spark, args.sf, p.inbox)
     elif args.cmd == "stream":
         if args.rocksdb:
             from roomstar.streaming.job import use_rocksdb_state
             use_rocksdb_state(spark)
-        src = pipeline.source(spark, args.source, p.inbox, args.bootstrap)
-        run = pipeline.stream(src, p, args.window, args.watermark, seconds=args.seconds,
+        src = runner.source(spark, args.source, p.inbox, args.bootstrap)
+        run = runner.stream(src, p, args.window, args.watermark, seconds=args.seconds,
                               available_now=args.available_now)
         print(f"late rows dropped: {run.dropped}")
     elif args.cmd in ("warehouse", "all"):
         if args.cmd == "all":
-            out = pipeline.run_all(spark, args.sf, args.root)
+            out = runner.run_all(spark, args.sf, args.root)
             wh = out["warehouse"]
         else:
             try:
-                wh = pipeline.build_warehouse(spark, p)
+                wh = runner.build_warehouse(spark, p)
             except warehouse.QualityGateError as err:
                 print(err)
                 return 1
@@ -122,7 +122,7 @@ def main(argv=None) -> int:
         if args.cmd == "all":
             cmd_serve_queries(out["serving"])
     elif args.cmd == "serve":
-        cmd_serve_queries(pipeline.load_serving(spark, p))
+        cmd_serve_queries(runner.load_serving(spark, p))
     elif args.cmd == "report":
         wh = warehouse.latest(spark, p.warehouse)
         _show("headline", reports.headline(wh))

@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from roomstar.plans import pipeline
+from roomstar.plans import runner
 from roomstar.queries import warehouse_for
 from roomstar.schema import EVENT_SCHEMA, METRICS_SCHEMA
 from roomstar.sinks import catalog
@@ -17,7 +17,7 @@ from roomstar.sources.stream import decode, kafka_options, kafka_value_as_json
 
 
 def test_lake_build_equals_direct_build(spark, scratch):
-    out = pipeline.run_all(spark, SF001, scratch)
+    out = runner.run_all(spark, SF001, scratch)
     via_lake = out["warehouse"]
     direct = warehouse_for(spark, SF001)
     assert via_lake.rows == direct.rows
@@ -70,9 +70,9 @@ def test_catalog_ddl_is_idempotent(spark):
 
 def test_processing_time_run_stops(spark, scratch):
     from roomstar.sources.stream import file_stream
-    p = pipeline.Paths(scratch)
-    pipeline.produce(spark, SF001, p.inbox)
-    run = pipeline.stream(decode(file_stream(spark, p.inbox, 4)), p, trigger="1 second",
+    p = runner.Paths(scratch)
+    runner.produce(spark, SF001, p.inbox)
+    run = runner.stream(decode(file_stream(spark, p.inbox, 4)), p, trigger="1 second",
                           seconds=8, with_rollup=False)
     assert not run.raw.isActive and not run.metrics.isActive
     assert spark.read.parquet(p.lake).count() > 0
