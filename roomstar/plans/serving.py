@@ -22,7 +22,7 @@ from roomstar.operators.joins import maybe_broadcast
 from roomstar.plans.warehouse import Warehouse
 from roomstar.schema import FACT, OLAP_DETAIL, ROOM_DAILY
 from roomstar.sinks import states
-from roomstar.sinks.files import write_partitioned_sorted
+from roomstar.sinks.files import files_for, write_partitioned_sorted
 
 DETAIL_SORT = ["event_date", "room_id", "user_id"]
 DETAIL_BLOOM = ["user_id"]  # user lookups across dates and rooms
@@ -94,7 +94,8 @@ def load(wh: Warehouse, base: str, load_id: int = 0) -> Serving:
     """Full refresh of the serving layer from a published warehouse build."""
     s = Serving(wh.spark, base.rstrip("/"))
     write_partitioned_sorted(_with_load(detail_rows(wh), load_id), f"{s.path}/{OLAP_DETAIL}",
-                             ["ym", "load_id"], DETAIL_SORT, bloom_cols=DETAIL_BLOOM)
+                             ["ym", "load_id"], DETAIL_SORT, bloom_cols=DETAIL_BLOOM,
+                             num_files=files_for(wh.spark, wh.rows.get(FACT)))
     states.write_load(room_daily_states(s.detail(), load_id), f"{s.path}/{ROOM_DAILY}")
     s.invalidate()
     return s
@@ -127,9 +128,11 @@ def read_date_range(spark: SparkSession, path: str, date_col: str, lo: str, hi:
 
 
 def write_orders_by_month(orders: DataFrame, path: str) -> None:
-    """Orders in the serving layout: month partitions, sorted by order date."""
+    """Orders in the serving layout: month partitions, sorted by order date (the row count
+    comes from the Parquet footers)."""
     write_partitioned_sorted(orders.withColumn("ym", year_month("o_orderdate")), path, "ym",
-                             ["o_orderdate", "o_orderkey"])
+                             ["o_orderdate", "o_orderkey"],
+                             num_files=files_for(orders.sparkSession, orders.count()))
 
 
 def orders_window_summary(spark: SparkSession, path: str, lo: str, hi: str) -> DataFrame:

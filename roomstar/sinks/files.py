@@ -7,6 +7,16 @@ from pyspark.sql import DataFrame
 # Rows per output file for the serving layout; keeps files large enough to read fast and
 # small enough that one month is spread over many files (and many writer tasks).
 ROWS_PER_FILE = 5_000_000
+# Target rows per file when the row count is known in advance.
+TARGET_ROWS_PER_FILE = 2_000_000
+
+
+def files_for(spark, rows: int | None) -> int | None:
+    """Output files for a layout of ``rows`` rows: about TARGET_ROWS_PER_FILE each, and at
+    least one per core so later scans run in parallel; None when the size is unknown."""
+    if rows is None:
+        return None
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TARGET_ROWS_PER_FILE))
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -17,7 +27,8 @@ def replace_table(df: DataFrame, path: str) -> None:
 def write_partitioned_sorted(df: DataFrame, path: str, partition_cols: str | list[str],
                              sort_cols: list[str], mode: str = "overwrite",
                              dynamic: bool = False, rows_per_file: int = ROWS_PER_FILE,
-                             bloom_cols: list[str] | None = None) -> None:
+                             bloom_cols: list[str] | None = None,
+                             num_files: int | None = None) -> None:
     """K4: Hive-style partitions, rows sorted by the sort key inside them.
 
     Range partitioning on (partitions, sort key) instead of hash on the partition value:
@@ -26,11 +37,13 @@ def write_partitioned_sorted(df: DataFrame, path: str, partition_cols: str | lis
     predicates on a prefix of the sort key. AQE may merge small ranges; it never breaks
     their order. ``dynamic`` replaces only the partitions present in ``df``. ``bloom_cols``
     get Parquet bloom filters, for equality lookups that min/max statistics cannot prune
-    (a column that is not a prefix of the sort key).
+    (a column that is not a prefix of the sort key). ``num_files`` fixes the number of
+    ranges (e.g. from ``files_for``); otherwise AQE sizes them from the shuffle.
     """
     parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     keys = [*parts, *sort_cols]
-    w = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
+    w = (ranged.sortWithinPartitions(*keys)
            .write.mode(mode)
            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
            .option("maxRecordsPerFile", rows_per_file))
