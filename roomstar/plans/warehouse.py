@@ -21,6 +21,7 @@ from roomstar.functions import (
 from roomstar.operators.joins import maybe_broadcast
 from roomstar.operators.keys import dense_keys
 from roomstar.schema import COMMENT, FACT, GIFT, JOIN, MODELS, NO_GIFT, STAGING
+from roomstar.sinks.files import TARGET_ROWS_PER_FILE
 
 # ---------------------------------------------------------------- models
 
@@ -130,8 +131,17 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def _write(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def _write(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
+    w = df.write.mode("overwrite")
+    if rows_per_file:
+        w = w.option("maxRecordsPerFile", rows_per_file)
+    w.parquet(path)
+
+
+def _rows_per_file(spark: SparkSession, rows: int) -> int:
+    """File size cap for a table of at most ``rows`` rows: one file per core at small
+    sizes (parallel scans), TARGET_ROWS_PER_FILE at large ones."""
+    return min(TARGET_ROWS_PER_FILE, max(1, -(-rows // spark.sparkContext.defaultParallelism)))
 
 
 def _count_models(spark: SparkSession, path: str) -> DataFrame:
@@ -153,7 +163,8 @@ def build(spark: SparkSession, raw: DataFrame, base: str, gate: bool = True) ->
 
     build_id = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     path = f"{base.rstrip('/')}/builds/{build_id}"
-    _write(staging(raw), f"{path}/{STAGING}")
+    cap = _rows_per_file(spark, raw.count())  # row count from Parquet footers
+    _write(staging(raw), f"{path}/{STAGING}", cap)
     stg = spark.read.parquet(f"{path}/{STAGING}")
     makers = {"dim_date": dim_date, "dim_room": dim_room, "dim_user": dim_user, "dim_gift": dim_gift}
     for name, make in makers.items():
@@ -161,7 +172,7 @@ def build(spark: SparkSession, raw: DataFrame, base: str, gate: bool = True) ->
     wh = Warehouse(spark, path)
     dim_rows = {r["model"]: r["rows"] for r in
                 _dim_counts(spark, path, list(makers)).collect()}
-    _write(fact(stg, wh.dims(), dim_rows), f"{path}/{FACT}")
+    _write(fact(stg, wh.dims(), dim_rows), f"{path}/{FACT}", cap)
     counts = _count_models(spark, path)
     _write(counts, f"{path}/_model_row_counts")
     wh.rows = {r["model"]: r["rows"] for r in wh.row_counts().collect()}
