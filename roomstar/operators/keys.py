@@ -23,10 +23,12 @@ def dense_keys(df: DataFrame, order_by: str, key: str,
     nulls last. ``order_by`` must be unique in df (it is a grouped natural key)."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.col(order_by).asc_nulls_last()
-    ranged = (df.repartitionByRange(n, order)
-                .sortWithinPartitions(order)
+    # Without an explicit count AQE may merge adjacent ranges; merged ranges stay contiguous
+    # and in order, which is all the numbering needs.
+    ranged = (df.repartitionByRange(num_partitions, order) if num_partitions
+              else df.repartitionByRange(order))
+    ranged = (ranged.sortWithinPartitions(order)
                 .withColumn("_rid", F.monotonically_increasing_id())
                 .checkpoint(eager=False))
     part = F.shiftright(F.col("_rid"), _POS_BITS)
