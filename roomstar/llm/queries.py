@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomstar.llm import bpe, token_files
+from roomstar.llm import bpe, language, quality, token_files
 from roomstar.session import configure, work_dir
 
 
@@ -40,7 +40,29 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _remainder(n: int):
+    """crc32 of the id as text, modulo n: the fold of a document."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, _remainder(4) != 2)
+    return quality.predict(docs, model).select(
+        "doc_id", F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.learn(docs, F.coalesce(_remainder(3) != 1, F.lit(True)))
+    return language.predict(docs, model).select(
+        "doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_language_id": op5_language_id,
 }
