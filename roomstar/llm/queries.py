@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomstar.llm import bpe, language, quality, token_files
+from roomstar.llm import bpe, fingerprints, language, quality, token_files
 from roomstar.session import configure, work_dir
 
 
@@ -40,6 +40,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edits(_table(spark, sf_dir, "documents"))
+
+
 def _remainder(n: int):
     """crc32 of the id as text, modulo n: the fold of a document."""
     return F.crc32(F.col("doc_id").cast("string")) % n
@@ -61,6 +65,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
     "op4_byte_bpe": op4_byte_bpe,
