@@ -270,8 +270,7 @@ def token_lengths(tok) -> np.ndarray:
 class Decoder:
     """ids -> bytes by table; characters split over tokens come together in the bytes."""
 
-    def __init__(self, spec: str) -> None:
-        table = token_bytes(load_tokenizer(spec))
+    def __init__(self, table: list[bytes]) -> None:
         self._bytes = np.frombuffer(b"".join(table), np.uint8)
         self._len = np.array([len(b) for b in table], np.int64)
         self._at = np.concatenate([[0], np.cumsum(self._len)[:-1]])
@@ -310,7 +309,7 @@ def encode(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "
 def decode(encoded: DataFrame, spec: str) -> DataFrame:
     """``encode``'s rows with ``decoded binary``, the bytes that the ids stand for. Null ids
     count as none."""
-    shared = encoded.sparkSession.sparkContext.broadcast(spec)
+    shared = encoded.sparkSession.sparkContext.broadcast(token_bytes(load_tokenizer(spec)))
 
     def run(batches):
         decoder = Decoder(shared.value)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomstar.llm import bpe, fingerprints, language, quality, token_files
+from roomstar.llm import bpe, decontaminate, fingerprints, language, quality, token_files
 from roomstar.session import configure, work_dir
 
 
@@ -64,10 +64,19 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"), "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
     "op3_token_files": op3_token_files,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_language_id": op5_language_id,
+    "op7_decontaminate": op7_decontaminate,
 }
