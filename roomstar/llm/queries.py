@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomstar.llm import bpe, decontaminate, fingerprints, language, quality, token_files
+from roomstar.llm import bpe, decontaminate, fingerprints, language, near_dedup, quality, token_files
 from roomstar.session import configure, work_dir
 
 
@@ -72,6 +72,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated().alias("contaminated"), "spans")
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(_table(spark, sf_dir, "documents"), 85).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
@@ -79,4 +84,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_language_id": op5_language_id,
     "op7_decontaminate": op7_decontaminate,
+    "op10_near_dedup": op10_near_dedup,
 }
