@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomstar.llm import bpe, decontaminate, fingerprints, language, near_dedup, quality, token_files
+from roomstar.llm import bpe, decontaminate, fingerprints, language, near_dedup, quality, suffix_dedup, token_files
 from roomstar.session import configure, work_dir
 
 
@@ -72,6 +72,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated().alias("contaminated"), "spans")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    length = F.transform("spans", lambda s: s["end"] - s["start"])
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", F.aggregate(length, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(_table(spark, sf_dir, "documents"), 85).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -84,5 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_language_id": op5_language_id,
     "op7_decontaminate": op7_decontaminate,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_near_dedup": op10_near_dedup,
 }
