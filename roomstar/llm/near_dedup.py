@@ -103,22 +103,22 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key
 
 
+def _node_of(h: np.ndarray, at: np.ndarray) -> list[bytes | None]:
+    """A digest of each text's set; none for an empty set."""
+    raw = h.tobytes()
+    return [hashlib.blake2b(raw[a * 8:b * 8], digest_size=16).digest() if b > a else None
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
 def _signed(batches):
     for part in slices(batches, "text"):
         h, at = shingles(part.column("text"))
         count = np.diff(at)
-        some = np.flatnonzero(count)
         keys = band_keys(signatures(h, at)).astype(np.int64)
-        node = np.full(len(count), None, object)
-        raw = h.tobytes()
-        for i in some:
-            node[i] = hashlib.blake2b(raw[at[i] * 8:at[i + 1] * 8], digest_size=16).digest()
-        has = np.zeros(len(count), np.int64)
-        has[some] = BANDS
-        bands = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(has)]).astype(np.int32)), pa.array(keys.ravel()))
+        ends = np.cumsum(np.where(count > 0, BANDS, 0))
+        bands = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(keys.ravel()))
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(count), pa.array(node, pa.binary()), bands],
+            [part.column("doc_id"), pa.array(count), pa.array(_node_of(h, at), pa.binary()), bands],
             ["doc_id", "n_shingles", "node", "bands"])
 
 
@@ -160,11 +160,10 @@ class _Texts:
 
         def check(batches):  # an id may come with several texts
             for part in slices(batches, "text"):
-                for own in _signed(iter([part])):
-                    same = pa.array([x == y for x, y in zip(own.column("node").to_pylist(),
-                                                           part.column("node").to_pylist(), strict=True)])
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("node").filter(same), part.column("text").filter(same)], ["node", "text"])
+                own = _node_of(*shingles(part.column("text")))
+                same = pa.array([x == y for x, y in zip(own, part.column("node").to_pylist(), strict=True)])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node").filter(same), part.column("text").filter(same)], ["node", "text"])
 
         path = work_dir(self.docs.sparkSession)
         (self.docs.join(wanted, self.docs.doc_id.eqNullSafe(wanted.doc_id)).select("node", "text", wanted.doc_id)

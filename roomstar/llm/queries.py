@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomstar.llm import bpe, decontaminate, fingerprints, language, near_dedup, quality, suffix_dedup, token_files
+from roomstar.llm import bpe, decontaminate, fingerprints, language, near_dedup, quality, suffix_dedup, token_files, url_filter
 from roomstar.session import configure, work_dir
 
 
@@ -79,6 +79,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(_table(spark, sf_dir, "documents"), 85).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -92,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op7_decontaminate": op7_decontaminate,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_url_filter": op9_url_filter,
     "op10_near_dedup": op10_near_dedup,
 }
