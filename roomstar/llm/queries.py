@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomstar.llm import bpe, decontaminate, fingerprints, language, near_dedup, quality, suffix_dedup, token_files, url_filter
+from roomstar.llm import bpe, decontaminate, fingerprints, html, language, near_dedup, quality, suffix_dedup, token_files, url_filter
 from roomstar.session import configure, work_dir
 
 
@@ -44,6 +44,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(_table(spark, sf_dir, "documents"))
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def _remainder(n: int):
     """crc32 of the id as text, modulo n: the fold of a document."""
     return F.crc32(F.col("doc_id").cast("string")) % n
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_language_id": op5_language_id,
+    "op6_html": op6_html,
     "op7_decontaminate": op7_decontaminate,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_url_filter": op9_url_filter,
