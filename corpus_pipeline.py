@@ -1,15 +1,93 @@
-"""Corpus preparation: stages of the training-data operators, one after the other."""
+"""Corpus preparation: language ID, near-duplicates, repeated passages, benchmark passages,
+tokens. Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the
+columns of ``documents``. A stage judges the rows that the one before it kept."""
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roomstar.llm import bpe, decontaminate, language, near_dedup, suffix_dedup
+from roomstar.operators.joins import maybe_broadcast
+from roomstar.session import configure, work_dir
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text has a language: not null, with letters, and at least as likely as all
+    other languages together. Learns from the labelled rows outside the held-out fold."""
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 != 1, F.lit(True))
+    model = language.learn(docs, fold)
+    return (language.predict(docs, model, keep=COLUMNS)
+            .where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+            .select(*COLUMNS))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each class of near-duplicates: that of its smallest id. Rows that repeat an
+    id and a text stay once; rows without an id are not told apart and stay."""
+    found = near_dedup.classes(docs, 85).checkpoint()
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct().checkpoint()
+    kept = maybe_broadcast(kept, kept.count())
+    rows = docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").select(*COLUMNS)
+    twice = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id").checkpoint()
+    twice = maybe_broadcast(twice, twice.count())
+    same = rows.doc_id.eqNullSafe(twice.doc_id)
+    again = rows.join(twice, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return rows.join(twice, same, "left_anti").unionByName(again)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, their texts without the bytes that repeat earlier documents (a character of
+    which only a part is left goes too; null texts stay null); n_chars counts the rest."""
+    return (suffix_dedup.remove_repeats(docs.withColumn("had_text", F.col("text").isNotNull()),
+                                        keep=("lang", "source", "had_text"), as_text=True)
+            .select("doc_id", F.when(F.col("had_text"), F.col("kept")).alias("text"), "lang", "source")
+            .withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long")).select(*COLUMNS))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the contamination rule does not catch."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return (decontaminate.overlaps(docs, benchmark, keep=COLUMNS)
+            .where(~decontaminate.contaminated()).select(*COLUMNS))
+
+
+@lru_cache(maxsize=1)
+def _spec() -> str:
+    return bpe.tokenizer_json(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids`` of every row, checked by decoding: ``exact`` is whether the ids
+    give the text's bytes again."""
+    coded = bpe.decode(bpe.encode(docs, _spec(), keep=("text",)), _spec(), keep=("text",))
+    same = F.coalesce(F.col("text"), F.lit("")).cast("binary") == F.col("decoded")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("exact"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("decontaminate", drop_contaminated),
+    ("byte_bpe", tokenize),
+]
 
-STAGES: list = []
-ORACLE_SQL = None
+ORACLE_SQL = None  # hashed models, links and merges are not SQL; tests compare with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over ``documents``, each written as Parquet and read again as the next one's."""
+    configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = f"{work_dir(spark)}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

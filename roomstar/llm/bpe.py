@@ -19,13 +19,14 @@ import base64
 import json
 import os
 import unicodedata
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from roomstar.llm.columns import id_and_text
+from roomstar.llm.columns import handed_on, id_and_text, with_columns
 from roomstar.llm.text import U64, SpanHash, ranges, slices, utf8
 
 CACHE_WORDS = 1 << 20  # pre-tokens kept per worker; the cache starts anew beyond it
@@ -291,24 +292,30 @@ class Decoder:
 
 # --- operators over DataFrames ---------------------------------------------------------------
 
-def encode(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, ids array<int>``; no shuffle. Null and empty texts have
+def encode(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text",
+           keep: Sequence[str] = ()) -> DataFrame:
+    """One row per input row: ``doc_id, ids array<int>`` and the ``keep`` columns; no shuffle. Null and empty texts have
     an empty array. ``spec`` is a tokenizers JSON string (``tokenizer_json`` or a file)."""
     shared = docs.sparkSession.sparkContext.broadcast(spec)
+    rows = id_and_text(docs, id_col, text_col, keep)
+    schema, names = handed_on(rows, "doc_id long, ids array<int>", keep)
 
     def run(batches):
         encoder = Encoder(shared.value)
         for part in slices(batches, "text"):
             ids, at = encoder.encode(part.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"])
+            yield with_columns(pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"]),
+                               part, names)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
+    return rows.mapInArrow(run, schema)
 
 
-def decode(encoded: DataFrame, spec: str) -> DataFrame:
-    """``encode``'s rows with ``decoded binary``, the bytes that the ids stand for. Null ids
-    count as none."""
+def decode(encoded: DataFrame, spec: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``encode``'s rows with ``decoded binary``, the bytes that the ids stand for, and the
+    ``keep`` columns. Null ids count as none."""
+    rows = encoded.select("doc_id", "ids", *keep)
+    schema, names = handed_on(rows, "doc_id long, ids array<int>, decoded binary", keep)
     shared = encoded.sparkSession.sparkContext.broadcast(token_bytes(load_tokenizer(spec)))
 
     def run(batches):
@@ -324,7 +331,8 @@ def decode(encoded: DataFrame, spec: str) -> DataFrame:
                 out = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), part.num_rows,
                     [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), lists, out.cast(pa.binary())], ["doc_id", "ids", "decoded"])
+                yield with_columns(pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), lists, out.cast(pa.binary())], ["doc_id", "ids", "decoded"]),
+                    part, names)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return rows.mapInArrow(run, schema)

@@ -17,12 +17,14 @@ The benchmark is a fixed evaluation set. It reaches the tasks in blocks of at mo
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomstar.llm.columns import id_and_text
+from roomstar.llm.columns import handed_on, id_and_text
 from roomstar.llm.fm_index import FMIndex
 from roomstar.llm.text import SpanHash, per_text, ranges, slices, spans, utf8
 
@@ -97,15 +99,18 @@ def find(phrases: Phrases, symbol: np.ndarray, owner: np.ndarray) -> tuple[np.nd
     return phrase, start[piece] + position - at[piece]
 
 
-RESULT = ("doc_id long, n_words long, n_hit long, spans array<struct<first:int,end:int,start_byte:int,"
-          "end_byte:int>>, item_ids array<string>")
+SPANS = "array<struct<first:int,end:int,start_byte:int,end_byte:int>>"
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
-             text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+             text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+             keep: Sequence[str] = ()) -> DataFrame:
     """One row per document: its number of words, how many lie in occurrences of benchmark
     windows, their merged spans (words first..end, end exclusive, and the bytes they cover in
-    the text) and the sorted ids of the items with an occurring window."""
+    the text), the sorted ids of the items with an occurring window, and the ``keep`` columns."""
+    rows = id_and_text(docs, id_col, text_col, keep)
+    schema, names = handed_on(rows, "doc_id long, n_words long, n_hit long", keep)
+    schema = schema.replace("n_hit long", "n_hit long, spans " + SPANS + ", item_ids array<string>")
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"),
                              F.col(item_text_col).cast("string").alias("text"))
@@ -113,8 +118,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col
     n_blocks = max(1, -(-size // BLOCK_BYTES))
     blocks = []
     for b in range(n_blocks):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b).collect()
-        blocks.append(spark.sparkContext.broadcast(([r["item"] for r in rows], [r["text"] for r in rows], window)))
+        block_items = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == b).collect()
+        blocks.append(spark.sparkContext.broadcast(
+            ([r["item"] for r in block_items], [r["text"] for r in block_items], window)))
 
     def run(batches):
         cached: list[tuple[int, Phrases]] = []  # the block at hand
@@ -127,22 +133,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col
         held, n_words, n_symbols = [], 0, 0
         for part in slices(batches, "text"):
             hashed, lo, hi, owner = words(part.column("text"))
-            held.append((part.column("doc_id"), hashed, lo, hi, owner))
+            held.append((part.select(["doc_id", *names]), hashed, lo, hi, owner))
             n_words += len(hashed)
             n_symbols += int((block(0).symbols_of(hashed) > 0).sum()) if n_blocks == 1 else len(hashed)
             if n_symbols >= SHARD_SYMBOLS or n_words >= SHARD_WORDS:
-                yield _judge(held, n_blocks, block)
+                yield from _judge(held, n_blocks, block)
                 held, n_words, n_symbols = [], 0, 0
         if held:
-            yield _judge(held, n_blocks, block)
+            yield from _judge(held, n_blocks, block)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, RESULT)
+    return rows.mapInArrow(run, schema)
 
 
-def _judge(held: list, n_blocks: int, block) -> pa.RecordBatch:
-    doc_ids = pa.concat_arrays([h[0] for h in held])
-    n = len(doc_ids)
-    base = np.cumsum([0, *(len(h[0]) for h in held)])
+def _judge(held: list, n_blocks: int, block):
+    """Result batches of a shard's documents."""
+    rows = pa.Table.from_batches([h[0] for h in held])
+    n = rows.num_rows
+    base = np.cumsum([0, *(h[0].num_rows for h in held)])
     hashed, lo, hi = (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
     owner = np.concatenate([h[4] + b for h, b in zip(held, base, strict=False)])
     cover = np.zeros(len(hashed) + 1, np.int64)
@@ -165,9 +172,9 @@ def _judge(held: list, n_blocks: int, block) -> pa.RecordBatch:
         ["first", "end", "start_byte", "end_byte"])
     lists = pa.ListArray.from_arrays(pa.array(per_text(whose, n).astype(np.int32)), span)
     items = pa.array([sorted(hits.get(d, ())) for d in range(n)], pa.list_(pa.string()))
-    return pa.RecordBatch.from_arrays(
-        [doc_ids, pa.array(np.diff(at)), pa.array(n_hit), lists, items],
-        ["doc_id", "n_words", "n_hit", "spans", "item_ids"])
+    own = [pa.array(np.diff(at)), pa.array(n_hit), lists, items]
+    yield from pa.table([rows.column(0), *own, *rows.columns[1:]],
+                        ["doc_id", "n_words", "n_hit", "spans", "item_ids", *rows.column_names[1:]]).to_batches()
 
 
 def contaminated() -> Column:

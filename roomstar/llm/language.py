@@ -11,6 +11,8 @@ nothing to learn from. Ties go to the language that sorts first. Repeated rows a
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -18,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomstar.llm.bpe import LETTER, _classes, code_points
-from roomstar.llm.columns import id_and_text
+from roomstar.llm.columns import handed_on, id_and_text, with_columns
 from roomstar.llm.text import slices, utf8
 
 BITS = 15       # log2 of the number of n-gram buckets
@@ -109,13 +111,16 @@ def learn(docs: DataFrame, usable: Column, text_col: str = "text",
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, lang_pred, score`` (the language's posterior)."""
+            text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per input row: ``doc_id, lang_pred, score`` (the language's posterior) and the
+    input's ``keep`` columns."""
+    rows = id_and_text(docs, id_col, text_col, keep)
+    schema, names = handed_on(rows, "doc_id long, lang_pred string, score double", keep)
     shared = docs.sparkSession.sparkContext.broadcast((model[0], model[1].astype(np.float64)))
 
     def run(batches):
         langs, logp = shared.value
-        names = np.array([*langs, UNKNOWN], object)
+        values = np.array([*langs, UNKNOWN], object)
         for part in slices(batches, "text", PIECE):
             bucket, at, has_letter = grams(part.column("text"))
             n = part.num_rows
@@ -129,8 +134,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str =
                 share /= share.sum(1, keepdims=True)
                 best[rows] = share.argmax(1)
                 score[rows] = share.max(1)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(names[best], pa.string()), pa.array(score)],
-                ["doc_id", "lang_pred", "score"])
+            yield with_columns(pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(values[best], pa.string()), pa.array(score)],
+                ["doc_id", "lang_pred", "score"]), part, names)
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(run, schema)
