@@ -27,7 +27,7 @@ BITS = 15       # log2 of the number of n-gram buckets
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 UNKNOWN = "und"
-PIECE = 1 << 19  # bytes of text handled at once
+PIECE = 1 << 18  # bytes of text handled at once
 
 
 def grams(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

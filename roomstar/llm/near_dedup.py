@@ -43,7 +43,7 @@ SHINGLE = 5
 BANDS, ROWS = 24, 5
 BINS = BANDS * ROWS
 SMALL = 16  # members of a group whose pairs of different classes are joined as pairs
-BLOCK = 1024  # members of a larger group's block
+BLOCK = 512   # members of a larger group's block
 
 
 def shingles(column, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +124,7 @@ def _signed(batches):
 
 def _confirm(threshold_percent: int):
     def run(batches):
-        for part in slices(batches, "text_a", 1 << 20):
+        for part in slices(batches, "text_a", 1 << 19):
             a, a_at = shingles(part.column("text_a"))
             b, b_at = shingles(part.column("text_b"))
             n = part.num_rows
@@ -226,7 +226,7 @@ def _overlaps(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     keep = np.flatnonzero(common[np.searchsorted(values, h)])
     order = keep[np.argsort(column[keep], kind="stable")]
     out = np.zeros((n, n), np.float32)
-    step = 4096
+    step = 2048
     cuts = np.searchsorted(column[order], np.arange(0, int(common.sum()) + step, step))
     for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
         block = np.zeros((n, step), np.float32)
@@ -237,9 +237,9 @@ def _overlaps(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _roots(near: np.ndarray) -> np.ndarray:
     """Smallest index that each row of a symmetric link matrix reaches."""
-    root = np.arange(len(near))
+    root = np.arange(len(near), dtype=np.int32)
     while True:
-        least = np.minimum(root, np.where(near, root[None, :], len(near)).min(1))
+        least = np.minimum(root, np.where(near, root[None, :], np.int32(len(near))).min(1))
         least = least[least]
         if (least == root).all():
             return root

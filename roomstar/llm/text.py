@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
