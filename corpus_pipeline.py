@@ -66,7 +66,7 @@ def _spec() -> str:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` of every row, checked by decoding: ``exact`` is whether the ids
     give the text's bytes again."""
-    coded = bpe.decode(bpe.encode(docs, _spec(), keep=("text",)), _spec(), keep=("text",))
+    coded = bpe.encode(docs, _spec(), keep=("text",), with_bytes=True)
     same = F.coalesce(F.col("text"), F.lit("")).cast("binary") == F.col("decoded")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("exact"))
 

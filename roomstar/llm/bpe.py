@@ -290,23 +290,34 @@ class Decoder:
                         pa.large_string())
 
 
+def _binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(offsets) - 1,
+        [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+
+
 # --- operators over DataFrames ---------------------------------------------------------------
 
 def encode(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text",
-           keep: Sequence[str] = ()) -> DataFrame:
-    """One row per input row: ``doc_id, ids array<int>`` and the ``keep`` columns; no shuffle. Null and empty texts have
+           keep: Sequence[str] = (), with_bytes: bool = False) -> DataFrame:
+    """One row per input row: ``doc_id, ids array<int>``, with ``with_bytes`` also ``decoded
+    binary`` (the ids decoded again, in the same pass), and the ``keep`` columns; no shuffle. Null and empty texts have
     an empty array. ``spec`` is a tokenizers JSON string (``tokenizer_json`` or a file)."""
     shared = docs.sparkSession.sparkContext.broadcast(spec)
     rows = id_and_text(docs, id_col, text_col, keep)
-    schema, names = handed_on(rows, "doc_id long, ids array<int>", keep)
+    schema, names = handed_on(rows, "doc_id long, ids array<int>" + ", decoded binary" * with_bytes, keep)
+    table = docs.sparkSession.sparkContext.broadcast(token_bytes(load_tokenizer(spec)) if with_bytes else None)
 
     def run(batches):
         encoder = Encoder(shared.value)
+        decoder = Decoder(table.value) if with_bytes else None
         for part in slices(batches, "text"):
             ids, at = encoder.encode(part.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
-            yield with_columns(pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["doc_id", "ids"]),
-                               part, names)
+            own = {"doc_id": part.column("doc_id"), "ids": lists}
+            if decoder:
+                own["decoded"] = _binaries(*decoder.decode(ids, at))
+            yield with_columns(pa.RecordBatch.from_pydict(own), part, names)
 
     return rows.mapInArrow(run, schema)
 
@@ -327,12 +338,8 @@ def decode(encoded: DataFrame, spec: str, keep: Sequence[str] = ()) -> DataFrame
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                 at = np.concatenate([[0], np.cumsum(size.astype(np.int64))])
-                data, off = decoder.decode(flat, at)
-                out = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), part.num_rows,
-                    [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
                 yield with_columns(pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), lists, out.cast(pa.binary())], ["doc_id", "ids", "decoded"]),
+                    [part.column("doc_id"), lists, _binaries(*decoder.decode(flat, at))], ["doc_id", "ids", "decoded"]),
                     part, names)
 
     return rows.mapInArrow(run, schema)

@@ -32,8 +32,7 @@ def rank_spec(path: str = "") -> str:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = rank_spec()
-    coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), spec), spec)
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), rank_spec(), with_bytes=True)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
