@@ -1,0 +1,27 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+
+SF001 = "/root/testdata/sf0.001"
+
+LONG = "word " * 4000 + "end of a very long text with some other words in it"
+EDGE = [  # (doc_id, text): null, empty and blank texts, ties, repeated rows, a null id
+    (1, None), (2, ""), (3, " \n\t "), (4, "a"), (5, "a"), (6, LONG), (7, LONG), (7, LONG), (8, "12 34 !!"),
+    (9, "Ünïcode 🙂 text, it's fine — and it's fine."), (None, "a text without an id"), (11, "x" * 300),
+]
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    """The edge rows with extra columns whose names clash with results."""
+    schema = "doc_id long, text string, lang string, score double, ids string, spans int, chunk int, node int, n_chars long"
+    return spark.createDataFrame([(i, t, "en", 0.5, "x", 1, 2, 3, 4) for i, t in EDGE], schema)
+
+
+@pytest.fixture(scope="session")
+def empty(edge):
+    return edge.where("false")
