@@ -26,8 +26,9 @@ def _spark(args):
 
 
 def _show(title, df, n=50):
+    """Print a report whole; ``n`` is only where counting its rows would be dearer."""
     print(f"\n--- {title} ---")
-    df.show(n, truncate=False)
+    df.show(max(n, df.count()), truncate=False)
 
 
 def cmd_serve_queries(sv):

@@ -30,11 +30,11 @@ def dense_keys(df: DataFrame, order_by: str, key: str,
               else df.repartitionByRange(order))
     ranged = (ranged.sortWithinPartitions(order)
                 .withColumn("_rid", F.monotonically_increasing_id())
-                .checkpoint(eager=False))
+                .checkpoint())
     part = F.shiftright(F.col("_rid"), _POS_BITS)
     # One count per non-empty partition: the only thing that reaches the driver, and
-    # bounded by the partition count, not by the data. This first action also writes the
-    # checkpoint; the key assignment below reads the checkpointed rows.
+    # bounded by the partition count, not by the data. Both this count and the key assignment
+    # below read the checkpointed rows.
     counts = sorted((r["_part"], r["_n"]) for r in
                     ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).collect())
     offsets, running = [], 0

@@ -12,6 +12,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roomstar.functions.types import ntz_times
 from roomstar.plans import quality, reports, serving, warehouse
@@ -143,9 +144,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "olap_country": _serve(serving.country_breakdown),
     "room_daily_rollup": _serve(serving.daily_rollup),
     "olap_running_total": _serve(serving.running_total),
+    "olap_running_total_first10": _serve(lambda s: serving.running_total(s, 10)),
     "rollup_reconcile": _serve(serving.rollup_reconcile),
     "partition_rows": _serve(serving.partition_rows),
-    "partition_bytes": _serve(serving.partition_bytes),
+    "partition_bytes": _serve(lambda s: serving.partition_bytes(s).select(
+        "ym", "rows", (F.col("files") >= 1).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))),
     "month_pruned_orders": lambda spark, sf: serving.orders_window_summary(
         spark, orders_layout(spark, sf), *ORDERS_WINDOW),
     "stream_raw_append": lambda spark, sf: ntz_times(read_lake(spark, f"{stream_replay(spark, sf)}/lake")),

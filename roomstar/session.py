@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job needs, whatever session it runs in. Calendar dates and window
@@ -23,6 +24,16 @@ RUNTIME_CONF = {
 }
 
 
+def submitted(key: str) -> bool:
+    """Whether spark-submit (or PYSPARK_SUBMIT_ARGS) has set a key; such a value is kept."""
+    if f"{key}=" in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+        return True
+    if "PYSPARK_GATEWAY_PORT" not in os.environ:
+        return False
+    SparkContext._ensure_initialized()
+    return SparkConf().contains(key)
+
+
 def build_session(master: str | None = None, app: str = "roomstar",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -30,18 +41,20 @@ def build_session(master: str | None = None, app: str = "roomstar",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    cores = os.cpu_count() or 8
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or cores),
         "spark.sql.streaming.schemaInference": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": "8g",
         **RUNTIME_CONF,
-        **(extra or {}),
     }
-    for k, v in conf.items():
+    if (master or "").startswith("local"):  # a cluster's width and memory are the submitter's to set
+        conf["spark.driver.memory"] = "8g"
+        conf["spark.sql.shuffle.partitions"] = str(os.cpu_count() or 8)
+    conf = {k: v for k, v in conf.items() if not submitted(k)}
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in {**conf, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -60,10 +60,16 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str, upto_load_id: int) -> int:
-    """Fold every live load with id <= ``upto_load_id`` into a new generation; returns it."""
+    """Fold every live load with id <= ``upto_load_id`` into a new generation; returns it.
+
+    A generation never covers more than the loads that exist when it is made: a load written
+    later, whatever its id, stays visible.
+    """
     done = _committed(spark, path)
     gen = 1 if done is None else done[0] + 1
-    covered = upto_load_id if done is None else max(upto_load_id, done[1])
+    newest = spark.read.parquet(path).agg(F.max("load_id").alias("id")).first()["id"]
+    covered = min(upto_load_id, newest) if newest is not None else upto_load_id
+    covered = covered if done is None else max(covered, done[1])
     states = read(spark, path).where(F.col("load_id") <= covered)
     _merge(states).write.mode("overwrite").parquet(f"{path}/_compacted/gen={gen}")
     (spark.createDataFrame([(gen, covered)], "gen long, covered long")

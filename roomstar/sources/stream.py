@@ -26,7 +26,7 @@ def kafka_options(bootstrap: str, topic: str = TOPIC, starting_offsets: str = "l
                   max_offsets_per_trigger: int | None = None, **extra: str) -> dict[str, str]:
     """S1 options; ``extra`` passes through (``kafka.security.protocol`` etc.)."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+            "startingOffsets": starting_offsets}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     opts.update(extra)

@@ -1,0 +1,22 @@
+"""A compaction covers existing loads only."""
+
+from pyspark.sql import functions as F
+
+from roomstar.operators import sketches
+from roomstar.sinks import states
+
+
+def _load(spark, load_id, coins):
+    rows = spark.createDataFrame([(202401, "2024-01-05", 1, coins, 0, 0, 7)],
+                                 "ym int, event_date string, room_id long, coins long, gifts long, comments long, u long")
+    return (rows.groupBy("ym", "event_date", "room_id")
+            .agg(F.sum("coins").alias("coins"), F.sum("gifts").alias("gifts"), F.sum("comments").alias("comments"),
+                 sketches.sketch("u").alias("users_sketch")).withColumn("load_id", F.lit(load_id).cast("long")))
+
+
+def test_loads_after_a_compaction_with_a_high_bound_stay_visible(spark, scratch):
+    path = f"{scratch}/rollup"
+    states.write_load(_load(spark, 1, 10), path)
+    states.compact(spark, path, 10)
+    states.write_load(_load(spark, 2, 5), path)
+    assert states.read(spark, path).agg(F.sum("coins")).first()[0] == 15

@@ -51,8 +51,9 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_listed():
-    no_oracle = set(entry_mod.queries()) - set(entry_mod.oracle_sql())
-    assert no_oracle == {"partition_bytes"}
+    from roomstar.oracle import ORACLE
+    from roomstar.queries import QUERIES
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_smoke(spark):

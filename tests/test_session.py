@@ -1,8 +1,10 @@
 """Shared-folder rules: never a machine-local temp folder on a cluster."""
 
+import tempfile
+
 import pytest
 
-from roomstar.session import checkpoint_dir
+from roomstar.session import checkpoint_dir, submitted
 
 
 class _Conf:
@@ -44,4 +46,9 @@ def test_cluster_uses_the_named_folder():
 
 
 def test_local_without_folder_gets_a_temp_one():
-    assert checkpoint_dir(_Session("local[2]")).startswith("/tmp/")
+    assert checkpoint_dir(_Session("local[2]")).startswith(tempfile.gettempdir())
+
+
+def test_submitted_settings_are_kept(monkeypatch):
+    monkeypatch.setenv("PYSPARK_SUBMIT_ARGS", "--conf spark.sql.shuffle.partitions=777 pyspark-shell")
+    assert submitted("spark.sql.shuffle.partitions") and not submitted("spark.driver.memory")
