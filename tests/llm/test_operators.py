@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import EDGE
+from edge_rows import EDGE
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -24,6 +24,18 @@ SF = "/root/testdata/sf0.001"
 SPEC = Q.rank_spec()
 
 
+@pytest.fixture(scope="session")
+def edge(spark):
+    """The edge rows with extra columns whose names clash with results."""
+    schema = "doc_id long, text string, lang string, score double, ids string, spans int, chunk int, node int, n_chars long"
+    return spark.createDataFrame([(i, t, "en", 0.5, "x", 1, 2, 3, 4) for i, t in EDGE], schema)
+
+
+@pytest.fixture(scope="session")
+def empty(edge):
+    return edge.where("false")
+
+
 def table(name):
     return duckdb.sql(f"SELECT * FROM read_parquet('{SF}/{name}.parquet')").fetchall()
 
