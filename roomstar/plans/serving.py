@@ -1,20 +1,23 @@
 """OLAP serving layer: the flattened fact in a month-partitioned sorted layout, a rollup
 of mergeable per-(day, room) states maintained with every load, and the serving queries.
 
-Layout: ``<base>/olap_detail/ym=YYYYMM/load_id=N/*.parquet`` sorted by (event_date, room_id,
-user_id) and ``<base>/agg_room_daily/ym=YYYYMM/load_id=N/*.parquet`` holding partial sums and
-HLL sketches. A load writes its detail rows and the states of exactly those rows, both
-replacing only that load's partitions, so re-running a load never duplicates anything;
-readers merge states across loads, so the rollup is never stale relative to the detail.
+Layout: ``<base>/gen=G/olap_detail/<attempt>/ym=YYYYMM/*.parquet`` sorted by (event_date, room_id,
+user_id), ``<base>/gen=G/agg_room_daily/<attempt>/ym=YYYYMM`` with partial sums and HLL sketches,
+and one load log per generation. A load writes its detail, derives the states from the rows it has
+written and then commits both with one log entry. A full reload starts a new generation, published
+by an entry of the log of ``<base>`` once its load is complete; the generation before it stays
+for running readers, older ones are deleted.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from roomstar.functions import month_bounds, readable_size, year_month
 from roomstar.operators import sketches
@@ -22,12 +25,17 @@ from roomstar.operators.joins import maybe_broadcast
 from roomstar.plans.warehouse import Warehouse
 from roomstar.schema import FACT, OLAP_DETAIL, ROOM_DAILY
 from roomstar.sinks import states
-from roomstar.sinks.files import files_for, write_partitioned_sorted
+from roomstar.sinks.files import delete, files_for, write_partitioned_sorted
+from roomstar.sinks.loads import LoadLog
 
 DETAIL_SORT = ["event_date", "room_id", "user_id"]
 DETAIL_BLOOM = ["user_id"]  # user lookups across dates and rooms
 DETAIL_COLUMNS = ["event_date", "room_id", "user_id", "gift_name", "gift_tier", "country",
                   "event_count", "joins", "comments", "gifts", "coins"]
+_TYPES = {"event_date": DateType(), **dict.fromkeys(DETAIL_COLUMNS[6:], LongType())}
+DETAIL_SCHEMA = StructType([*[StructField(c, _TYPES.get(c, StringType())) for c in DETAIL_COLUMNS],
+                            StructField("ym", IntegerType())])
+WRITER = "load"
 
 
 def detail_rows(wh: Warehouse) -> DataFrame:
@@ -43,70 +51,93 @@ def detail_rows(wh: Warehouse) -> DataFrame:
     return out.select(*DETAIL_COLUMNS, year_month("event_date").alias("ym"))
 
 
-def room_daily_states(detail: DataFrame, load_id: int) -> DataFrame:
+def room_daily_states(detail: DataFrame) -> DataFrame:
     """Partial states of one load: sums and a user sketch per (day, room)."""
     return (detail.groupBy("ym", "event_date", "room_id")
                   .agg(F.sum("coins").alias("coins"), F.sum("gifts").alias("gifts"),
                        F.sum("comments").alias("comments"),
-                       sketches.sketch("user_id").alias("users_sketch"))
-                  .withColumn("load_id", F.lit(load_id).cast("long")))
+                       sketches.sketch("user_id").alias("users_sketch")))
 
 
 @dataclass
 class Serving:
-    """Readers of the serving tables, made once and dropped whenever this process writes
+    """Readers of the published generation, made once and dropped whenever this process writes
     to the layer (a reader keeps the file list it was made with)."""
     spark: SparkSession
     path: str
     _readers: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
-    def _read(self, name: str) -> DataFrame:
-        if name not in self._readers:
-            self._readers[name] = self.spark.read.parquet(f"{self.path}/{name}")
-        return self._readers[name]
+    def log(self) -> LoadLog:
+        """Load log of the published generation."""
+        generation = LoadLog(self.spark, self.path).state().generation
+        if generation is None:
+            raise FileNotFoundError(f"no published serving generation under {self.path}")
+        return LoadLog(self.spark, f"{self.path}/{generation}")
 
     def invalidate(self) -> None:
         self._readers.clear()
 
     def detail(self) -> DataFrame:
-        return self._read(OLAP_DETAIL)
+        if OLAP_DETAIL not in self._readers:
+            log = self.log()
+            self._readers[OLAP_DETAIL] = log.read(OLAP_DETAIL, DETAIL_SCHEMA, log.state().folders())
+        return self._readers[OLAP_DETAIL]
 
     def rollup(self) -> DataFrame:
-        """Rollup states visible now (committed compaction + uncovered loads)."""
+        """Rollup states visible now (newest compaction and the loads it does not cover)."""
         if ROOM_DAILY not in self._readers:
-            self._readers[ROOM_DAILY] = states.read(self.spark, f"{self.path}/{ROOM_DAILY}")
+            self._readers[ROOM_DAILY] = states.read(self.spark, self.log().root)
         return self._readers[ROOM_DAILY]
 
     def compact_rollup(self, upto_load_id: int) -> int:
-        gen = states.compact(self.spark, f"{self.path}/{ROOM_DAILY}", upto_load_id)
+        seq = states.compact(self.spark, self.log().root, upto_load_id, keep_folders=True)
         self.invalidate()
-        return gen
+        return seq
 
     def detail_between(self, lo: str, hi: str) -> DataFrame:
-        return read_date_range(self.spark, f"{self.path}/{OLAP_DETAIL}", "event_date", lo, hi)
-
-
-def _with_load(rows: DataFrame, load_id: int) -> DataFrame:
-    return rows.select(*DETAIL_COLUMNS, "ym", F.lit(load_id).cast("long").alias("load_id"))
+        return in_date_range(self.detail(), "event_date", lo, hi)
+
+
+def _write_load(log: LoadLog, rows: DataFrame, load_id: int, num_files: int | None = None) -> None:
+    folder = log.attempt(WRITER, load_id)
+    write_partitioned_sorted(rows.select(*DETAIL_SCHEMA.names), f"{log.root}/{OLAP_DETAIL}/{folder}", "ym",
+                             DETAIL_SORT, mode="error", bloom_cols=DETAIL_BLOOM, num_files=num_files)
+    written = log.read(OLAP_DETAIL, DETAIL_SCHEMA, [folder])
+    states.write(log, folder, room_daily_states(written))
+    log.append("load", folder, WRITER, load_id)
+
+
+def _new_generation(s: Serving, rows: DataFrame, load_id: int, num_files: int | None = None) -> None:
+    """A generation that holds one load; published when complete."""
+    top = LoadLog(s.spark, s.path)
+    old = [e for e in top._entries()]
+    name = f"gen={uuid.uuid4().hex}"
+    _write_load(LoadLog(s.spark, f"{s.path}/{name}"), rows, load_id, num_files)
+    top.append("generation", name)
+    for entry in old[:-1]:
+        delete(s.spark, f"{s.path}/{entry['folder']}")
+        delete(s.spark, f"{s.path}/_log/seq={entry['seq']}")
+    s.invalidate()
 
 
 def load(wh: Warehouse, base: str, load_id: int = 0) -> Serving:
     """Full refresh of the serving layer from a published warehouse build."""
     s = Serving(wh.spark, base.rstrip("/"))
-    write_partitioned_sorted(_with_load(detail_rows(wh), load_id), f"{s.path}/{OLAP_DETAIL}",
-                             ["ym", "load_id"], DETAIL_SORT, bloom_cols=DETAIL_BLOOM,
-                             num_files=files_for(wh.spark, wh.rows.get(FACT)))
-    states.write_load(room_daily_states(s.detail(), load_id), f"{s.path}/{ROOM_DAILY}")
-    s.invalidate()
+    _new_generation(s, detail_rows(wh), load_id, files_for(wh.spark, wh.rows.get(FACT)))
     return s
 
 
+def reload(s: Serving, rows: DataFrame, load_id: int = 0) -> None:
+    """Replace the whole layer by detail rows: a new generation that holds one load."""
+    _new_generation(s, rows, load_id)
+
+
 def append(s: Serving, rows: DataFrame, load_id: int) -> None:
-    """K5 + insert trigger: add detail rows and the rollup states of exactly these rows
-    under ``load_id``. Re-running a load replaces its partitions, never doubles them."""
-    write_partitioned_sorted(_with_load(rows, load_id), f"{s.path}/{OLAP_DETAIL}",
-                             ["ym", "load_id"], DETAIL_SORT, dynamic=True, bloom_cols=DETAIL_BLOOM)
-    states.write_load(room_daily_states(rows, load_id), f"{s.path}/{ROOM_DAILY}")
+    """K5 + insert trigger: add detail rows and the rollup states of exactly these rows. A load
+    id that is there already is replaced as a whole; one that is compacted raises CoveredLoad."""
+    if LoadLog(s.spark, s.path).state().generation is None:
+        return _new_generation(s, rows, load_id)
+    _write_load(s.log(), rows, load_id)
     s.invalidate()
 
 
@@ -118,8 +149,12 @@ def read_date_range(spark: SparkSession, path: str, date_col: str, lo: str, hi:
     """Rows with lo <= date_col <= hi (ISO dates, inclusive) from a month-partitioned
     table. The implied month bounds are added on the partition column, because a predicate
     on the date alone does not prune partitions."""
+    return in_date_range(spark.read.parquet(path), date_col, lo, hi, part_col)
+
+
+def in_date_range(df: DataFrame, date_col: str, lo: str, hi: str, part_col: str = "ym") -> DataFrame:
+    """``read_date_range`` of a frame."""
     lo_ym, hi_ym = month_bounds(lo, hi)
-    df = spark.read.parquet(path)
     end = (dt.date.fromisoformat(hi) + dt.timedelta(days=1)).isoformat()
     kind = df.schema[date_col].dataType.simpleString()
     lo_v, end_v = F.lit(lo).cast(kind), F.lit(end).cast(kind)

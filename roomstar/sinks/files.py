@@ -1,4 +1,4 @@
-"""File sinks: table replace, month-partitioned sorted layout, idempotent batch append."""
+"""File sinks: month-partitioned sorted layout, folder removal."""
 
 from __future__ import annotations
 
@@ -19,11 +19,6 @@ def files_for(spark, rows: int | None) -> int | None:
     return max(spark.sparkContext.defaultParallelism, -(-rows // TARGET_ROWS_PER_FILE))
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """K3: CREATE OR REPLACE TABLE ... AS SELECT, as a Parquet directory."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def write_partitioned_sorted(df: DataFrame, path: str, partition_cols: str | list[str],
                              sort_cols: list[str], mode: str = "overwrite",
                              dynamic: bool = False, rows_per_file: int = ROWS_PER_FILE,
@@ -52,8 +47,7 @@ def write_partitioned_sorted(df: DataFrame, path: str, partition_cols: str | lis
     w.partitionBy(*parts).parquet(path)
 
 
-def write_partitions_idempotent(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite): writing the
-    same batch twice leaves one copy."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols).parquet(path))
+def delete(spark, path: str) -> None:
+    """Remove a folder on whatever file system holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

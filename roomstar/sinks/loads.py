@@ -1,0 +1,111 @@
+"""Commit log of a folder that is filled load by load.
+
+A load writes its files to a folder of its own attempt and then appends one entry to
+``<root>/_log/seq=N``; readers open only the folders that the log names, so a failed or running
+attempt is invisible and a re-run replaces the whole earlier attempt, whatever months either has.
+Several tables can share one log: a load is seen in all of them or in none.
+
+Entries: ``load`` (writer, load_id, folder), ``compaction`` (folder, and the loads it covers) and
+``generation`` (folder). Of several loads with the same writer and id the newest entry counts.
+One process writes to a log at a time: two that take the same number collide on the entry's
+folder, and the second fails.
+"""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import dataclass, field
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, LongType, StructField, StructType
+
+from roomstar.sinks.files import delete
+
+_ENTRY = "kind string, writer string, load_id long, folder string, " \
+         "covered array<struct<writer string, load_id long, folder string>>"
+# Folder levels of an attempt, above the table's own partitions.
+_LEVELS = [StructField("writer", StringType()), StructField("load_id", LongType()),
+           StructField("attempt", StringType())]
+
+
+class CoveredLoad(ValueError):
+    """The load is part of a compaction (or older than one) and cannot be replaced any more."""
+
+
+@dataclass
+class State:
+    """What the log says now."""
+    seq: int = 0
+    loads: dict[tuple[str, int], str] = field(default_factory=dict)    # not compacted
+    compacted: str | None = None
+    compacted_seq: int = 0
+    covered: dict[str, int] = field(default_factory=dict)              # newest id per writer
+    covered_folders: list[tuple[str, int, str | None]] = field(default_factory=list)
+    generation: str | None = None
+
+    def folders(self) -> list[str]:
+        """Folders of every load, compacted or not."""
+        return [f for _, _, f in self.covered_folders if f] + list(self.loads.values())
+
+
+class LoadLog:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _entries(self) -> list:
+        try:
+            rows = self.spark.read.schema(f"{_ENTRY}, seq long").json(f"{self.root}/_log").collect()
+        except AnalysisException as err:
+            if err.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+        return sorted(rows, key=lambda r: r["seq"])
+
+    def state(self) -> State:
+        s = State()
+        for e in self._entries():
+            s.seq = e["seq"]
+            if e["kind"] == "load":
+                s.loads[e["writer"], e["load_id"]] = e["folder"]
+            elif e["kind"] == "generation":
+                s.generation = e["folder"]
+            else:
+                s.compacted, s.compacted_seq = e["folder"], e["seq"]
+                s.covered_folders = [tuple(c) for c in e["covered"]]
+                s.covered = {}
+                for writer, load_id, _ in s.covered_folders:
+                    s.covered[writer] = max(load_id, s.covered.get(writer, load_id))
+        s.loads = {k: f for k, f in s.loads.items() if k[1] > s.covered.get(k[0], k[1] - 1)}
+        return s
+
+    def attempt(self, writer: str, load_id: int) -> str:
+        """A new folder for a load; CoveredLoad if a compaction already holds it."""
+        if load_id <= self.state().covered.get(writer, load_id - 1):
+            raise CoveredLoad(f"load {load_id} of {writer} is compacted")
+        return f"writer={writer}/load_id={load_id}/attempt={uuid.uuid4().hex}"
+
+    def append(self, kind: str, folder: str, writer: str | None = None, load_id: int | None = None,
+               covered: list | None = None) -> int:
+        seq = self.state().seq + 1
+        (self.spark.createDataFrame([(kind, writer, load_id, folder, covered)], _ENTRY).coalesce(1)
+             .write.mode("error").json(f"{self.root}/_log/seq={seq}"))
+        return seq
+
+    def read(self, table: str, schema: StructType, folders: list[str]) -> DataFrame:
+        """Rows of ``table`` in the given attempt folders, with the columns of ``schema``."""
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{table}"
+        levels = [c for c in _LEVELS if folders[0].startswith("writer=")]
+        df = (self.spark.read.schema(StructType([*schema.fields, *levels]))
+                  .option("basePath", base).parquet(*[f"{base}/{f}" for f in folders]))
+        return df.select(*schema.names)
+
+    def forget(self, table: str, then: State) -> None:
+        """Delete the entries that the compaction of ``then`` replaced, and their files in
+        ``table``. Called one compaction later, so that readers of that time have ended."""
+        for e in self._entries():
+            if e["seq"] < then.compacted_seq and e["folder"] not in then.loads.values():
+                delete(self.spark, f"{self.root}/{table}/{e['folder']}")
+                delete(self.spark, f"{self.root}/_log/seq={e['seq']}")

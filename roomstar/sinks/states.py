@@ -1,77 +1,83 @@
-"""Rollup state folders: per-load partial states, compaction, and the merged read.
+"""Rollup states of a load log: partial states per load, compaction, and the merged read.
 
-Layout under ``path``:
-
-* ``ym=YYYYMM/load_id=N/`` — partial states of one load (written with dynamic partition
-  overwrite, so a replayed load replaces its own partitions);
-* ``_compacted/gen=G/`` — states of all loads with id <= covered(G), merged into one row
-  per (ym, day, room);
-* ``_compacted/_markers/g=G/`` — written last; the commit point of generation G.
-
-Readers take the newest committed generation plus the live loads it does not cover, so a
-compaction is invisible until its marker exists and never double counts. Compaction merges
-states (sums + sketch union); it never re-reads the detail.
+``<root>/agg_room_daily/<attempt folder>/ym=YYYYMM`` holds the states of one attempt of a load;
+``<root>/agg_room_daily/compacted=N/ym=YYYYMM`` one row per (ym, day, room) merged from all loads
+that compaction N covers. Compaction merges states (sums, sketch union), never the detail.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BinaryType, DateType, IntegerType, LongType, StringType, StructField, StructType,
+)
 
 from roomstar.operators import sketches
-from roomstar.sinks.files import write_partitions_idempotent
+from roomstar.schema import ROOM_DAILY
+from roomstar.sinks.loads import LoadLog
 
 KEYS = ["ym", "event_date", "room_id"]
+SCHEMA = StructType([
+    StructField("event_date", DateType()), StructField("room_id", StringType()),
+    StructField("coins", LongType()), StructField("gifts", LongType()),
+    StructField("comments", LongType()), StructField("users_sketch", BinaryType()),
+    StructField("ym", IntegerType()),
+])
+
 
+def write(log: LoadLog, folder: str, states: DataFrame) -> None:
+    """The states of one load's attempt; visible once the log names the folder."""
+    (states.select(*SCHEMA.names).write.mode("error").partitionBy("ym")
+           .parquet(f"{log.root}/{ROOM_DAILY}/{folder}"))
 
-def write_load(states: DataFrame, path: str) -> None:
-    """Write the states of one or more loads (column ``load_id``)."""
-    write_partitions_idempotent(states, path, ["ym", "load_id"])
 
+def write_load(spark: SparkSession, root: str, writer: str, load_id: int, states: DataFrame) -> None:
+    """Write and commit the states of one load."""
+    log = LoadLog(spark, root)
+    folder = log.attempt(writer, load_id)
+    write(log, folder, states)
+    log.append("load", folder, writer, load_id)
 
-def _committed(spark: SparkSession, path: str) -> tuple[int, int] | None:
-    """(generation, covered load id) of the newest committed compaction, if any."""
-    try:
-        m = spark.read.json(f"{path}/_compacted/_markers").agg(
-            F.max_by("covered", "gen").alias("covered"), F.max("gen").alias("gen")).first()
-    except AnalysisException:
-        return None
-    return None if m is None or m["gen"] is None else (m["gen"], m["covered"])
 
+def read(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """All committed states: the newest compaction and the loads it does not cover (of these
+    only ids up to ``upto``, if given)."""
+    log = LoadLog(spark, root)
+    now = log.state()
+    live = [f for (_, i), f in now.loads.items() if upto is None or i <= upto]
+    out = log.read(ROOM_DAILY, SCHEMA, live)
+    return out.unionByName(log.read(ROOM_DAILY, SCHEMA, [now.compacted])) if now.compacted else out
 
-def _merge(states: DataFrame) -> DataFrame:
-    return (states.groupBy(*KEYS)
+
+def merge(states: DataFrame, *keys: str) -> DataFrame:
+    return (states.groupBy(*keys)
                   .agg(F.sum("coins").alias("coins"), F.sum("gifts").alias("gifts"),
                        F.sum("comments").alias("comments"),
                        sketches.merge("users_sketch").alias("users_sketch")))
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """All states visible now: the committed compaction plus uncovered live loads."""
-    live = spark.read.parquet(path)
-    done = _committed(spark, path)
-    if done is None:
-        return live
-    gen, covered = done
-    comp = (spark.read.parquet(f"{path}/_compacted/gen={gen}")
-                 .withColumn("load_id", F.lit(covered).cast("long")))
-    return comp.unionByName(live.where(F.col("load_id") > covered).select(*comp.columns))
-
-
-def compact(spark: SparkSession, path: str, upto_load_id: int) -> int:
-    """Fold every live load with id <= ``upto_load_id`` into a new generation; returns it.
+def compact(spark: SparkSession, root: str, upto: int, keep_folders: bool = False) -> int:
+    """Fold the committed loads with id <= ``upto`` into one folder; returns its log entry.
 
-    A generation never covers more than the loads that exist when it is made: a load written
-    later, whatever its id, stays visible.
+    Only loads that exist are covered: a later load, whatever ``upto`` was, stays visible. What
+    the compaction before this one covers is deleted. ``keep_folders`` keeps the covered loads'
+    folder names, for a log whose other tables still hold them.
     """
-    done = _committed(spark, path)
-    gen = 1 if done is None else done[0] + 1
-    newest = spark.read.parquet(path).agg(F.max("load_id").alias("id")).first()["id"]
-    covered = min(upto_load_id, newest) if newest is not None else upto_load_id
-    covered = covered if done is None else max(covered, done[1])
-    states = read(spark, path).where(F.col("load_id") <= covered)
-    _merge(states).write.mode("overwrite").parquet(f"{path}/_compacted/gen={gen}")
-    (spark.createDataFrame([(gen, covered)], "gen long, covered long")
-          .write.mode("overwrite").json(f"{path}/_compacted/_markers/g={gen}"))
-    return gen
+    log = LoadLog(spark, root)
+    now = log.state()
+    taken = [(w, i, f) for (w, i), f in now.loads.items() if i <= upto]
+    covered = [*now.covered_folders, *taken]
+    if not keep_folders:
+        newest: dict[str, int] = {}
+        for w, i, _ in covered:
+            newest[w] = max(i, newest.get(w, i))
+        covered = [(w, i, None) for w, i in newest.items()]
+    seq = now.seq + 1
+    folder = f"compacted={seq}"
+    (merge(read(spark, root, upto), *KEYS).write.mode("overwrite").partitionBy("ym")
+        .parquet(f"{log.root}/{ROOM_DAILY}/{folder}"))
+    log.append("compaction", folder, covered=covered)
+    if now.compacted:
+        log.forget(ROOM_DAILY, now)
+    return seq

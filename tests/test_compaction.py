@@ -1,22 +1,87 @@
-"""A compaction covers existing loads only."""
+"""Loads, re-runs, reloads and compactions of the load log."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from roomstar.operators import sketches
+from roomstar.plans import serving
 from roomstar.sinks import states
+from roomstar.sinks.loads import CoveredLoad, LoadLog
 
 
-def _load(spark, load_id, coins):
-    rows = spark.createDataFrame([(202401, "2024-01-05", 1, coins, 0, 0, 7)],
-                                 "ym int, event_date string, room_id long, coins long, gifts long, comments long, u long")
-    return (rows.groupBy("ym", "event_date", "room_id")
+def _load(spark, root, load_id, coins, writer="w"):
+    rows = spark.createDataFrame([(202401, "2024-01-05", "r", coins, 0, 0, "u")],
+                                 "ym int, event_date string, room_id string, coins long, gifts long, "
+                                 "comments long, u string").withColumn("event_date", F.to_date("event_date"))
+    part = (rows.groupBy("ym", "event_date", "room_id")
             .agg(F.sum("coins").alias("coins"), F.sum("gifts").alias("gifts"), F.sum("comments").alias("comments"),
-                 sketches.sketch("u").alias("users_sketch")).withColumn("load_id", F.lit(load_id).cast("long")))
+                 sketches.sketch("u").alias("users_sketch")))
+    states.write_load(spark, root, writer, load_id, part)
+
+
+def _coins(spark, root):
+    return states.read(spark, root).agg(F.sum("coins")).first()[0]
 
 
 def test_loads_after_a_compaction_with_a_high_bound_stay_visible(spark, scratch):
-    path = f"{scratch}/rollup"
-    states.write_load(_load(spark, 1, 10), path)
-    states.compact(spark, path, 10)
-    states.write_load(_load(spark, 2, 5), path)
-    assert states.read(spark, path).agg(F.sum("coins")).first()[0] == 15
+    _load(spark, scratch, 1, 10)
+    states.compact(spark, scratch, 10)
+    _load(spark, scratch, 2, 5)
+    assert _coins(spark, scratch) == 15
+
+
+def test_rerun_replaces_and_compacted_loads_refuse(spark, scratch):
+    _load(spark, scratch, 1, 10)
+    _load(spark, scratch, 1, 7)
+    _load(spark, scratch, 1, 100, writer="other checkpoint")
+    assert _coins(spark, scratch) == 107
+    states.compact(spark, scratch, 1)
+    with pytest.raises(CoveredLoad):
+        _load(spark, scratch, 1, 7)
+    assert _coins(spark, scratch) == 107
+
+
+def test_compactions_delete_what_the_one_before_covers(spark, scratch):
+    for i in range(1, 4):
+        _load(spark, scratch, i, i)
+        states.compact(spark, scratch, i)
+    log = LoadLog(spark, scratch)
+    assert _coins(spark, scratch) == 6
+    assert [e["kind"] for e in log._entries()] == ["compaction", "load", "compaction"]
+
+
+def test_an_uncommitted_attempt_is_invisible(spark, scratch):
+    _load(spark, scratch, 1, 10)
+    log = LoadLog(spark, scratch)
+    states.write(log, log.attempt("w", 2), states.read(spark, scratch))
+    assert _coins(spark, scratch) == 10
+
+
+def _detail(spark, months):
+    rows = [(f"2024-{m:02d}-03", "r", f"u{m}", "rose", "low", "SG", 1, 0, 0, 1, 10 * m, 202400 + m) for m in months]
+    return (spark.createDataFrame(rows, "event_date string, room_id string, user_id string, gift_name string, "
+                                  "gift_tier string, country string, event_count long, joins long, comments long, "
+                                  "gifts long, coins long, ym int").withColumn("event_date", F.to_date("event_date")))
+
+
+def _totals(s):
+    return (s.detail().agg(F.sum("coins")).first()[0], s.rollup().agg(F.sum("coins")).first()[0])
+
+
+def test_a_rerun_load_with_fewer_months_leaves_nothing_behind(spark, scratch):
+    s = serving.Serving(spark, scratch)
+    serving.append(s, _detail(spark, [1, 2]), 1)
+    serving.append(s, _detail(spark, [2]), 1)
+    assert _totals(s) == (20, 20)
+
+
+def test_a_reload_replaces_appends_and_compactions(spark, scratch):
+    s = serving.Serving(spark, scratch)
+    serving.append(s, _detail(spark, [1]), 0)
+    serving.append(s, _detail(spark, [2]), 1)
+    s.compact_rollup(1)
+    assert _totals(s) == (30, 30)
+    reader = serving.Serving(spark, scratch).detail()
+    serving.reload(s, _detail(spark, [3]), 0)
+    assert _totals(s) == (30, 30) and s.detail().count() == 1
+    assert reader.count() == 2  # the generation before stays for running readers

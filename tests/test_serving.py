@@ -1,10 +1,12 @@
 """Serving layout, month pruning, rollup merge, formatting helpers."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from roomstar.functions import readable_size, rank_label, thousands
 from roomstar.plans import serving
+from roomstar.sinks.loads import CoveredLoad
 from roomstar.queries import ORDERS_WINDOW, orders_layout, serving_for
 
 
@@ -37,7 +39,7 @@ def test_rollup_matches_detail(spark):
 
 def test_append_load_and_replay(spark, scratch):
     s0 = serving_for(spark, SF001)
-    detail = s0.detail().drop("load_id")
+    detail = s0.detail()
     s = serving.Serving(spark, scratch)
     a, b = detail.where(F.col("coins") >= 100), detail.where(F.col("coins") < 100)
     serving.append(s, a, 1)
@@ -75,29 +77,30 @@ def test_formatting(spark):
 
 
 def test_rollup_compaction_is_invisible_until_committed(spark, scratch):
-    from roomstar.sinks import states
     s0 = serving_for(spark, SF001)
-    detail = s0.detail().drop("load_id")
+    detail = s0.detail()
     want = sorted(map(tuple, serving.daily_rollup(s0, None).collect()))
     s = serving.Serving(spark, scratch)
     parts = [detail.where(F.col("coins") >= 100), detail.where((F.col("coins") < 100) & (F.col("coins") > 0)),
              detail.where(F.col("coins") == 0)]
     for i, p in enumerate(parts, 1):
         serving.append(s, p, i)
-    assert s.compact_rollup(2) == 1
+    first = s.compact_rollup(2)
     assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
-    # replaying a covered load changes nothing; a second generation folds in load 3
-    states.write_load(serving.room_daily_states(parts[1], 2), f"{scratch}/agg_room_daily")
-    s.invalidate()
+    # a covered load cannot be sent again; a second compaction folds in load 3
+    with pytest.raises(CoveredLoad):
+        serving.append(s, parts[1], 2)
     assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
-    assert s.compact_rollup(3) == 2
-    assert s.rollup().select("load_id").distinct().count() == 1
+    assert s.compact_rollup(3) > first
+    assert s.rollup().count() == len(want)
     assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
-    # a generation without its marker is not read
-    spark.read.parquet(f"{scratch}/agg_room_daily/_compacted/gen=2").write.parquet(
-        f"{scratch}/agg_room_daily/_compacted/gen=3")
+    # a folder that the log does not name is not read
+    root = s.log().root
+    done = s.log().state().compacted
+    spark.read.parquet(f"{root}/agg_room_daily/{done}").write.parquet(f"{root}/agg_room_daily/compacted=99")
     s.invalidate()
     assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
+    assert s.detail().count() == detail.count()
 
 
 def test_bloom_filter_written_for_high_cardinality_users(spark, scratch):
