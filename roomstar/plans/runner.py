@@ -47,9 +47,10 @@ def produce(spark: SparkSession, sf_dir: str, outdir: str) -> None:
 
 def source(spark: SparkSession, kind: str = "file", indir: str | None = None,
            bootstrap: str | None = None, files_per_trigger: int | None = FILES_PER_TRIGGER,
-           starting_offsets: str = "latest") -> DataFrame:
+           starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None) -> DataFrame:
     if kind == "kafka":
-        return decode(kafka_stream(spark, bootstrap, starting_offsets=starting_offsets))
+        return decode(kafka_stream(spark, bootstrap, starting_offsets=starting_offsets,
+                                   max_offsets_per_trigger=max_offsets_per_trigger))
     return decode(file_stream(spark, indir, files_per_trigger))
 
 
@@ -57,19 +58,9 @@ def stream(events: DataFrame, p: Paths, window: str = WINDOW, watermark: str = W
            trigger: str = TRIGGER, seconds: float | None = None,
            available_now: bool = False, with_rollup: bool = True) -> job.StreamRun:
     """Raw sink + windowed sink (+ per-batch rollup) over one source."""
-    q = None
-    if with_rollup:
-        q = rollup.start(events, p.rollup, f"{p.checkpoints}/rollup", trigger, available_now)
-    run = job.run(events, p.lake, p.metrics, p.checkpoints, window, watermark, trigger,
-                  seconds, available_now)
-    if q is not None:
-        if available_now:
-            q.awaitTermination()
-        else:
-            q.stop()
-        if q.exception():
-            raise RuntimeError(f"rollup stream failed: {q.exception()}")
-    return run
+    also = [lambda: rollup.start(events, p.rollup, f"{p.checkpoints}/rollup", trigger, available_now)]
+    return job.run(events, p.lake, p.metrics, p.checkpoints, window, watermark, trigger, seconds,
+                   available_now, also if with_rollup else None)
 
 
 def build_warehouse(spark: SparkSession, p: Paths, gate: bool = True) -> warehouse.Warehouse:

@@ -62,3 +62,9 @@ TOPIC = "live_events"
 # from different loads and batches can be unioned (HLL, 2^12 buckets, ~1.6 % error).
 HLL_LG_K = 12
 HLL_RSE = 1.04 / (2 ** HLL_LG_K) ** 0.5
+# Relative error of the streaming viewer estimate (Spark's default).
+VIEWERS_RSD = 0.05
+# The late-data replay: arrival lags are stretched by this factor (the events are minutes apart),
+# and arrivals cut into so many slices of equal time.
+LATE_STRETCH = 3600
+LATE_SLICES = 6

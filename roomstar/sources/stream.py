@@ -13,10 +13,14 @@ JSON_OPTIONS = {"mode": "PERMISSIVE"}
 
 
 def file_stream(spark: SparkSession, indir: str,
-                files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
-    """Tail a folder of NDJSON files, one string column ``json``. Only ``*.json`` is
-    read: a producer's ``*.json.tmp`` file would otherwise be picked up half-written."""
+                files_per_trigger: int | None = FILES_PER_TRIGGER,
+                nested: bool = False) -> DataFrame:
+    """Tail a folder of NDJSON files (``nested``: and its subfolders), one string column
+    ``json``. Only ``*.json`` is read: a producer's ``*.json.tmp`` file would otherwise be picked
+    up half-written."""
     r = spark.readStream.format("text").option("pathGlobFilter", "*.json")
+    if nested:
+        r = r.option("recursiveFileLookup", "true")
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
     return r.load(indir).select(F.col("value").alias("json"))

@@ -1,27 +1,30 @@
-"""Replay a closed table of events through the real-time layer, in event-time order.
+"""Replay a closed table of events through the real-time layer, slice by slice.
 
-The events are cut into k event-time slices of about ``rows_per_batch`` rows. Slice i is
-encoded as NDJSON into the watched folder, then the raw sink, the window sink and the
+The events are cut into k slices by a time column (event time by default). Slice i is encoded as
+NDJSON into its own folder below the watched one, then the raw sink, the window sink and the
 rollup run until that slice is consumed (``availableNow``); state carries over in their
-checkpoints. Every event of slice i+1 is later than every event of slice i, so nothing is
-late, the window state only holds windows near the current slice, and the result equals
-one batch over all events: every window ending at or before max(event time) - watermark.
-
-Slices are cut at approximate event-time quantiles, so a burst that holds a third of all
-events is spread over many slices instead of forming one huge batch (only events sharing
-one timestamp stay together). The k-1 cut points are the only values that reach the
-driver; each row finds its slice by a binary search written as nested conditions, and
-the slices are staged partitioned by it, so each step reads only its own slice.
+checkpoints. In event-time order nothing is late, the window state only holds windows near the
+current slice, and the result equals one batch over all events: every window ending at or
+before max(event time) - watermark. In arrival order, rows of windows that the watermark has
+passed by the end of the slice before are dropped.
+
+Slices are cut at approximate quantiles, so a burst that holds a third of all events is spread
+over many slices (only events sharing one timestamp stay together). The k-1 cut points are the
+only values that reach the driver. Sliced rows are staged once, and every slice written is
+recorded in a log: a replay that is run again after a failure, or repeated, neither cuts nor
+writes a slice twice.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roomstar.schema import WATERMARK, WINDOW
 from roomstar.sinks.events import write_ndjson
+from roomstar.sinks.loads import LoadLog
 from roomstar.sources.stream import decode, file_stream
 from roomstar.streaming import job, rollup
 
@@ -32,51 +35,53 @@ def slice_count(rows: int, rows_per_batch: int) -> int:
     return max(1, math.ceil(rows / rows_per_batch))
 
 
-def _search(t, cuts: list[int], lo: int, hi: int):
-    """Slice index in [lo, hi] of t: the number of cut points <= t."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(t < F.lit(cuts[mid]), _search(t, cuts, lo, mid)).otherwise(
-        _search(t, cuts, mid + 1, hi))
+def slice_of(micros: Column, cuts: list[int]) -> Column:
+    """Number of cut points <= micros, by binary search written as nested conditions (0 for
+    null)."""
+    def within(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(micros < F.lit(cuts[mid]), within(lo, mid)).otherwise(within(mid + 1, hi))
+    return F.when(micros.isNull(), F.lit(0)).otherwise(within(0, len(cuts)))
 
 
-def with_slices(events: DataFrame, k: int) -> DataFrame:
-    """Column ``_slice`` in 0..k-1 at approximate event-time quantiles."""
-    t = F.unix_micros(F.col("event_ts"))
+def with_slices(events: DataFrame, k: int, by: str = "event_ts") -> DataFrame:
+    """Column ``_slice`` in 0..k-1 at approximate quantiles of a time column."""
+    t = F.unix_micros(F.col(by))
     probs = [i / k for i in range(1, k)]
-    cuts = events.agg(F.percentile_approx(t, probs, 10_000).alias("q")).first()["q"]
-    cuts = sorted(set(cuts))
-    return events.withColumn("_slice", _search(t, cuts, 0, len(cuts)))
+    cuts = events.agg(F.percentile_approx(t, probs, 10_000).alias("q")).first()["q"] if probs else None
+    return events.withColumn("_slice", slice_of(t, sorted(set(cuts or []))))
 
 
 def replay(events: DataFrame, base: str, rows_per_batch: int | None = None) -> int:
-    """Run the three real-time queries over ``events`` slice by slice under ``base``
-    (folders in/, lake/, room_metrics/, rollup/, _checkpoints/). Returns rows dropped as
-    late (0 when the slices are in order)."""
+    """Run the three real-time queries over ``events`` in event-time order under ``base``
+    (folders in/, lake/, room_metrics/, rollup/, _checkpoints/). Returns rows dropped as late
+    (0, as the slices are in order)."""
     spark = events.sparkSession
     per = rows_per_batch or int(spark.conf.get("roomstar.replay.rowsPerBatch", str(ROWS_PER_BATCH)))
-    ev = events.where(F.col("event_ts").isNotNull())
-    k = slice_count(ev.count(), per)
-    undated = events.where(F.col("event_ts").isNull())
-    if k == 1:
-        slices = [events]
-    else:
-        staged = f"{base}/_slices"
-        with_slices(ev, k).write.mode("overwrite").partitionBy("_slice").parquet(staged)
-        part = spark.read.parquet(staged)
-        slices = [part.where(F.col("_slice") == i).drop("_slice") for i in range(k)]
-        slices[0] = slices[0].unionByName(undated)
-    src, dropped = None, 0
-    for piece in slices:
-        write_ndjson(piece, f"{base}/in")
-        if src is None:  # the folder must exist before the source is defined
-            src = decode(file_stream(spark, f"{base}/in", files_per_trigger=None))
-        q = rollup.start(src, f"{base}/rollup", f"{base}/_checkpoints/rollup", available_now=True)
-        run = job.run(src, f"{base}/lake", f"{base}/room_metrics", f"{base}/_checkpoints",
-                      available_now=True)
-        q.awaitTermination()
-        if q.exception():
-            raise RuntimeError(f"rollup stream failed: {q.exception()}")
-        dropped += run.dropped
+    return replay_slices(spark, lambda: with_slices(events, slice_count(events.count(), per)), base)
+
+
+def replay_slices(spark, sliced, base: str, window: str = WINDOW, watermark: str = WATERMARK) -> int:
+    """Run the queries over ``sliced()`` (events with ``_slice``), one slice after another."""
+    log = LoadLog(spark, base)
+    staged = f"{base}/_slices"
+    if ("staged", 0) not in log.state().loads:
+        sliced().write.mode("overwrite").partitionBy("_slice").parquet(staged)
+        log.append("load", "_slices", "staged", 0)
+    part = spark.read.parquet(staged)
+    numbers = sorted(r["_slice"] for r in part.select("_slice").distinct().collect())
+    written = {i for w, i in log.state().loads if w == "slice"}
+    dropped = 0
+    for i in numbers:
+        if i not in written:
+            write_ndjson(part.where(F.col("_slice") == i).drop("_slice"), f"{base}/in/slice={i}", "overwrite")
+            log.append("load", f"in/slice={i}", "slice", i)
+        src = decode(file_stream(spark, f"{base}/in", files_per_trigger=None, nested=True))
+        dropped += job.run(
+            src, f"{base}/lake", f"{base}/room_metrics", f"{base}/_checkpoints", window, watermark,
+            available_now=True,
+            also=[lambda: rollup.start(src, f"{base}/rollup", f"{base}/_checkpoints/rollup",
+                                       available_now=True)]).dropped
     return dropped

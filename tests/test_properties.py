@@ -20,10 +20,12 @@ def test_stream_over_ordered_files_equals_batch(spark, scratch):
               for i in range(120)]
     batches = [events[i:i + 30] for i in range(0, 120, 30)]
     _write_batches(f"{scratch}/in", batches)
-    q = job.start_metrics_sink(decode(file_stream(spark, f"{scratch}/in", 1)), f"{scratch}/out",
-                               f"{scratch}/ck", available_now=True)
-    q.awaitTermination()
-    assert job.dropped_late_rows(q) == 0
+    late = job.LateRows()
+    spark.streams.addListener(late)
+    q, = job.supervise([lambda: job.start_metrics_sink(
+        decode(file_stream(spark, f"{scratch}/in", 1)), f"{scratch}/out", f"{scratch}/ck", available_now=True)])
+    assert job.settled(spark, late, q) == 0
+    spark.streams.removeListener(late)
     streamed = spark.read.parquet(f"{scratch}/out")
     whole = decode(spark.read.text(f"{scratch}/in").select(F.col("value").alias("json")))
     cut = whole.agg(F.max("event_ts")).first()[0] - dt.timedelta(seconds=20)

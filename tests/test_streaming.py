@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from roomstar.sources.stream import decode, file_stream, undecodable
 from roomstar.streaming import job, rollup
-from roomstar.streaming.job import aggregate
+from roomstar.sinks import states as state_store
+from roomstar.sinks.loads import LoadLog
+from roomstar.streaming.job import room_windows
 
 
 def _event(eid, ts, room="room_0001", user="user_000001", etype="join", coins=0):
@@ -38,12 +40,15 @@ def _run_windows(spark, scratch, batches):
     indir = f"{scratch}/in"
     _write_batches(indir, batches)
     src = decode(file_stream(spark, indir, files_per_trigger=1))
-    q = job.start_metrics_sink(src, f"{scratch}/out", f"{scratch}/ck", available_now=True)
-    q.awaitTermination()
+    late = job.LateRows()
+    spark.streams.addListener(late)
+    q, = job.supervise([lambda: job.start_metrics_sink(src, f"{scratch}/out", f"{scratch}/ck", available_now=True)])
+    dropped = job.settled(spark, late, q)
+    spark.streams.removeListener(late)
     assert q.exception() is None
     out = spark.read.parquet(f"{scratch}/out")
     got = {r["window_start"].strftime("%M:%S"): r["events"] for r in out.collect()}
-    return got, job.dropped_late_rows(q)
+    return got, dropped
 
 
 def test_late_row_dropped_after_watermark_passed(spark, scratch):
@@ -119,25 +124,26 @@ def test_incremental_rollup_equals_batch_and_replay_is_idempotent(spark, scratch
     src = decode(file_stream(spark, indir, files_per_trigger=1))
     q = rollup.start(src, f"{scratch}/rollup", f"{scratch}/ck", available_now=True)
     q.awaitTermination()
-    states = spark.read.parquet(f"{scratch}/rollup")
-    assert states.select("load_id").distinct().count() == 3
+    states = state_store.read(spark, f"{scratch}/rollup")
+    assert len(LoadLog(spark, f"{scratch}/rollup").state().loads) == 3
     inc = {(r["event_date"], r["room_id"]): (r["coins"], r["gifts"], r["comments"], r["users"])
            for r in rollup.merged(states).collect()}
     whole = decode(spark.read.text(indir).select(F.col("value").alias("json")))
     batch = {(r["event_date"], r["room_id"]): (r["coins"], r["gifts"], r["comments"], r["users"])
-             for r in rollup.merged(rollup.event_states(whole, 0)).collect()}
+             for r in rollup.merged(rollup.event_states(whole)).collect()}
     assert inc == batch
     # replaying batch 1 rewrites its own partitions only
     rollup.write_batch(decode(spark.read.text(f"{indir}/events-001.json").select(
-        F.col("value").alias("json"))), 1, f"{scratch}/rollup")
+        F.col("value").alias("json"))), 1, f"{scratch}/rollup",
+        rollup.query_id(spark, f"{scratch}/ck"))
     again = {(r["event_date"], r["room_id"]): (r["coins"], r["gifts"], r["comments"], r["users"])
-             for r in rollup.merged(spark.read.parquet(f"{scratch}/rollup")).collect()}
+             for r in rollup.merged(state_store.read(spark, f"{scratch}/rollup")).collect()}
     assert again == batch
 
 
 def test_aggregate_columns(spark):
     df = decode(spark.createDataFrame([(json.dumps(_event(1, _ts("00:05"))),)], "json string"))
-    assert aggregate(df).columns == ["window_start", "window_end", "room_id", "unique_viewers",
+    assert room_windows(df).columns == ["window_start", "window_end", "room_id", "unique_viewers",
                                      "events", "gifts", "coins", "comments", "last_ingest_ts"]
 
 
@@ -195,8 +201,8 @@ def test_sliced_replay_equals_one_batch(spark, scratch):
         a = spark.read.parquet(f"{scratch}/one/{sub}")
         b = spark.read.parquet(f"{scratch}/four/{sub}")
         assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
-    ra = rollup.merged(spark.read.parquet(f"{scratch}/one/rollup"))
-    rb = rollup.merged(spark.read.parquet(f"{scratch}/four/rollup"))
+    ra = rollup.merged(state_store.read(spark, f"{scratch}/one/rollup"))
+    rb = rollup.merged(state_store.read(spark, f"{scratch}/four/rollup"))
     assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
 
 
@@ -209,3 +215,38 @@ def test_replay_slices_split_a_burst(spark):
         "id", F.to_timestamp("ts").alias("event_ts"))
     sizes = [r["count"] for r in with_slices(df, 6).groupBy("_slice").count().collect()]
     assert len(sizes) == 6 and max(sizes) < 2 * 9000 / 6
+
+
+def test_a_repeated_replay_adds_nothing(spark, scratch):
+    from conftest import SF001
+    from roomstar.sources.lake import fixture_events
+    from roomstar.streaming.replay import replay
+    ev = fixture_events(spark, SF001)
+    for _ in range(2):
+        assert replay(ev, scratch, rows_per_batch=500) == 0
+    assert spark.read.parquet(f"{scratch}/lake").count() == ev.count()
+
+
+def test_a_replay_writes_a_slice_anew_that_its_log_does_not_name(spark, scratch):
+    from conftest import SF001
+    from roomstar.sinks.events import write_ndjson
+    from roomstar.sources.lake import fixture_events
+    from roomstar.streaming.replay import replay
+    ev = fixture_events(spark, SF001)
+    write_ndjson(ev.limit(10), f"{scratch}/in/slice=0")
+    assert replay(ev, scratch) == 0
+    assert spark.read.parquet(f"{scratch}/lake").count() == ev.count()
+
+
+def test_a_failing_start_leaves_no_query_running(spark, scratch):
+    import pytest
+    _write_batches(f"{scratch}/in", [[_event(1, _ts("00:05"))]])
+    src = decode(file_stream(spark, f"{scratch}/in"))
+
+    def fails():
+        raise RuntimeError("cannot start")
+
+    with pytest.raises(RuntimeError, match="cannot start"):
+        job.run(src, f"{scratch}/lake", f"{scratch}/out", f"{scratch}/ck", trigger="1 second", seconds=30,
+                also=[fails])
+    assert spark.streams.active == []
