@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast, orphan detection, scalar differences."""
+"""Join helpers: size-checked broadcast, one-row frames side by side."""
 
 from __future__ import annotations
 
@@ -31,13 +31,6 @@ def maybe_broadcast(dim: DataFrame, rows: int | None) -> DataFrame:
     return dim
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Fact rows whose ``key`` has no row in ``dim`` (null keys count as orphans, as in
-    LEFT JOIN ... WHERE dim.key IS NULL). Planned as an anti join, not outer join + filter."""
-    return fact.join(dim.select(key), key, "left_anti")
-
-
-
 def one_row(*frames: DataFrame) -> DataFrame:
     """Columns of several one-row aggregates (distinct column names) side by side, as one
     row: a union of the rows, other columns null, folded by taking each column's only

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomstar.functions import any_null
-from roomstar.operators.joins import one_row, orphans
+from roomstar.operators.joins import maybe_broadcast, one_row
 
 FACT_KEYS = ["date_key", "room_key", "user_key", "gift_key"]
 _DIM_OF = {"date_key": "dim_date", "room_key": "dim_room", "user_key": "dim_user",
@@ -30,46 +30,45 @@ CHECKS = [
 
 
 def duplicate_ids(stg: DataFrame, id_col: str = "event_id") -> DataFrame:
-    """One row ``_dups`` = COUNT(*) - COUNT(DISTINCT id), and ``_rows`` = COUNT(*).
-
-    Exact, in two steps so the big shuffle carries 8-byte hashes instead of id strings:
-    count rows per 64-bit hash of the non-null ids; only ids whose hash occurs more than
-    once (duplicates plus rare hash collisions) are re-grouped by the id itself to count
-    real copies. Every null id is a violation (COUNT(DISTINCT) skips nulls).
-    """
-    ids = stg.select(F.col(id_col)).where(F.col(id_col).isNotNull())
-    h = F.xxhash64(F.col(id_col))
-    shared = (ids.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
-                 .where(F.col("_n") > 1).select("_h"))
-    cand = ids.withColumn("_h", h).join(shared, "_h", "left_semi")
-    extra = (cand.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
-                 .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_extra")))
-    rows = stg.agg(F.count(F.lit(1)).alias("_rows"), F.count(F.col(id_col)).alias("_ids"))
-    return one_row(extra, rows).select(
-        (F.col("_extra") + F.col("_rows") - F.col("_ids")).alias("_dups"), "_rows")
-
-
-def violations(stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """(check_name, violations) for every check in CHECKS."""
-    fact_pass = fact.agg(
-        F.coalesce(F.sum(F.when(any_null(*FACT_KEYS), 1)), F.lit(0)).alias("null_fact_keys"),
-        F.coalesce(F.sum(F.when(F.col("coins") < 0, 1)), F.lit(0)).alias("negative_coins"),
+    """One row ``_dups`` = COUNT(*) - COUNT(DISTINCT id), and ``_rows`` = COUNT(*): one read and
+    one shuffle of the distinct ids. Null ids are violations (COUNT(DISTINCT) skips them)."""
+    per_id = stg.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
+    extra = F.when(F.col(id_col).isNull(), F.col("_n")).otherwise(F.col("_n") - 1)
+    return per_id.agg(F.coalesce(F.sum(extra), F.lit(0)).alias("_dups"),
+                      F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"))
+
+
+def with_missing_keys(fact: DataFrame, dims: dict[str, DataFrame],
+                      rows: dict[str, int] | None = None) -> DataFrame:
+    """The fact with ``_missing``: the key columns that have no dimension row (a null key has
+    none). One pass: the four dimensions are joined one after another, small ones broadcast."""
+    out = fact
+    for key, dim in _DIM_OF.items():
+        known = dims[dim].select(F.col(key).alias(f"_d_{key}")).distinct()
+        known = maybe_broadcast(known, (rows or {}).get(dim))
+        out = out.join(known, out[key] == known[f"_d_{key}"], "left")
+    missing = [F.when(F.col(f"_d_{key}").isNull(), F.lit(key)) for key in _DIM_OF]
+    return out.select(*fact.columns, F.array_compact(F.array(*missing)).alias("_missing"))
+
+
+def violations(stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame],
+               rows: dict[str, int] | None = None) -> DataFrame:
+    """(check_name, violations) for every check in CHECKS: staging and fact are read once.
+    ``rows`` are known row counts of the dimensions."""
+    def tally(condition):
+        return F.coalesce(F.sum(F.when(condition, 1)), F.lit(0)).cast("long")
+
+    labelled = with_missing_keys(fact.select(*FACT_KEYS, "coins", "event_count"), dims, rows)
+    fact_pass = labelled.agg(
+        tally(any_null(*FACT_KEYS)).alias("null_fact_keys"),
+        tally(F.col("coins") < 0).alias("negative_coins"),
+        *[tally(F.array_contains("_missing", key)).alias(f"orphan_{key}s") for key in _DIM_OF],
         F.coalesce(F.sum("event_count"), F.lit(0)).alias("_events"))
-    stg_pass = duplicate_ids(stg)
-    both = one_row(fact_pass, stg_pass).select(
-        F.col("null_fact_keys").cast("long").alias("null_fact_keys"),
+    both = one_row(fact_pass, duplicate_ids(stg)).select(
+        *[c for c in fact_pass.columns if c != "_events"],
         F.col("_dups").cast("long").alias("duplicate_event_ids"),
-        F.col("negative_coins").cast("long").alias("negative_coins"),
         F.abs(F.col("_events") - F.col("_rows")).cast("long").alias("staging_reconciliation"))
-    rows = [both.unpivot([], both.columns, "check_name", "violations")]
-    for key in ["room_key", "user_key", "date_key", "gift_key"]:
-        rows.append(orphans(fact.select(key), dims[_DIM_OF[key]], key)
-                    .agg(F.count(F.lit(1)).cast("long").alias("violations"))
-                    .select(F.lit(f"orphan_{key}s").alias("check_name"), "violations"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    return both.unpivot([], both.columns, "check_name", "violations")
 
 
 def inject_faults(stg: DataFrame, fact: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -77,36 +76,36 @@ def inject_faults(stg: DataFrame, fact: DataFrame) -> tuple[DataFrame, DataFrame
     staging gets one duplicated event; the fact gets four one-event rows cloned from its
     first row (by key), with a null user key, an unknown room key, negative coins and an
     unknown gift key. Expected violations: 1 null key, 1 duplicate, 1 orphan each of room,
-    user (the null) and gift, 1 negative, reconciliation off by 4 - 1 = 3."""
-    dup = stg.orderBy("event_id").limit(1)
-    first = fact.orderBy(*FACT_KEYS).limit(1).withColumn("event_count", F.lit(1).cast("long"))
-    broken = [
-        first.withColumn("user_key", F.lit(None).cast("long")),
-        first.withColumn("room_key", F.lit(-1).cast("long")),
-        first.withColumn("coins", F.lit(-5).cast("long")),
-        first.withColumn("gift_key", F.lit(-1).cast("long")),
-    ]
-    bad_fact = fact
-    for b in broken:
-        bad_fact = bad_fact.unionByName(b)
-    return stg.unionByName(dup), bad_fact
-
-
-def orphan_rows(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """The fact rows whose key has no dimension row, labelled with the missing key."""
-    out = None
-    for key in ["date_key", "room_key", "user_key", "gift_key"]:
-        part = orphans(fact, dims[_DIM_OF[key]], key).withColumn("missing_key", F.lit(key))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def quality_report(stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    user (the null) and gift, 1 negative, reconciliation off by 4 - 1 = 3.
+
+    The two rows are fetched here, once, and added as literal rows."""
+    spark = stg.sparkSession
+
+    def literal(frame: DataFrame, rows: list[dict]) -> DataFrame:
+        return frame.unionByName(spark.createDataFrame(
+            [tuple(r[c] for c in frame.columns) for r in rows], frame.schema))
+
+    event = [r.asDict() for r in stg.orderBy("event_id").limit(1).collect()]
+    faults = [{"user_key": None}, {"room_key": -1}, {"coins": -5}, {"gift_key": -1}]
+    first = [r.asDict() for r in fact.orderBy(*FACT_KEYS).limit(1).collect()]
+    broken = [{**r, "event_count": 1, **fault} for r in first for fault in faults]
+    return literal(stg, event), literal(fact, broken)
+
+
+def orphan_rows(fact: DataFrame, dims: dict[str, DataFrame],
+                rows: dict[str, int] | None = None) -> DataFrame:
+    """The fact rows whose key has no dimension row, once per missing key."""
+    return (with_missing_keys(fact, dims, rows).where(F.size("_missing") > 0)
+            .select(*fact.columns, F.explode("_missing").alias("missing_key")))
+
+
+def quality_report(stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame],
+                   rows: dict[str, int] | None = None) -> DataFrame:
     """G1: check_name, description, violations, status (PASS/FAIL), in CHECKS order."""
     spark = stg.sparkSession
     meta = spark.createDataFrame([(n, d, i) for i, (n, d) in enumerate(CHECKS)],
                                  "check_name string, description string, _order int")
-    return (violations(stg, fact, dims).join(F.broadcast(meta), "check_name")
+    return (violations(stg, fact, dims, rows).join(F.broadcast(meta), "check_name")
             .orderBy("_order")
             .select("check_name", "description", "violations",
                     F.when(F.col("violations") == 0, "PASS").otherwise("FAIL").alias("status")))

@@ -177,7 +177,7 @@ def build(spark: SparkSession, raw: DataFrame, base: str, gate: bool = True) ->
     _write(counts, f"{path}/_model_row_counts")
     wh.rows = {r["model"]: r["rows"] for r in wh.row_counts().collect()}
 
-    report = quality_report(wh.table(STAGING), wh.table(FACT), wh.dims())
+    report = quality_report(wh.table(STAGING), wh.table(FACT), wh.dims(), wh.rows)
     _write(report, f"{path}/_quality")
     failed = wh.table("_quality").where(F.col("status") == "FAIL").count()
     if gate and failed:
