@@ -32,7 +32,7 @@ def approx_distinct(c) -> Column:
     return estimate(sketch(c))
 
 
-def within_tolerance(estimate_col, exact_col, sigmas: float = 3.0) -> Column:
+def within_tolerance(estimate_col, exact_col, sigmas: float = 3.0, rse: float = HLL_RSE) -> Column:
     """|estimate - exact| within ``sigmas`` relative standard errors (at least 1)."""
     e, x = _c(estimate_col).cast("double"), _c(exact_col).cast("double")
-    return F.abs(e - x) <= F.greatest(F.lit(1.0), x * F.lit(sigmas * HLL_RSE))
+    return F.abs(e - x) <= F.greatest(F.lit(1.0), x * F.lit(sigmas * rse))

@@ -47,7 +47,7 @@ SOURCES = {
 }
 
 # Catalog entries (owner, grain, freshness target, classification).
-# dim_user has no classification: user country is personal data, not yet signed off.
+# The dim_user entry lacks a classification on purpose: the gap report has to list it.
 CATALOG = [
     ("stg_events", "data-platform", "one row per raw engagement event", "15 minutes", "internal"),
     ("dim_date", "data-platform", "one row per calendar date", "daily", "public"),
@@ -194,3 +194,11 @@ def governance_json(leaves: DataFrame, gaps: DataFrame) -> DataFrame:
                   .agg(F.map_from_entries(F.collect_list(F.struct("model", "gaps"))).alias("catalog_gaps")))
     return one_row(lineage, gapmap).select(
         F.to_json(F.struct("lineage", "catalog_gaps")).alias("json"))
+
+
+def impact_json(edges: DataFrame, upstream: str) -> DataFrame:
+    """One JSON document {column: qualified upstream, impact: {model: [column]}}."""
+    hits = impact_one_hop(edges, upstream).select(F.struct("model", "columns").alias("hit"))
+    found = hits.agg(F.map_from_entries(F.array_sort(F.collect_list("hit"))).alias("impact"))
+    return found.select(F.to_json(F.struct(qualify(F.lit(upstream), STAGING).alias("column"), "impact"))
+                         .alias("json"))

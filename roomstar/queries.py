@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from roomstar.functions.types import ntz_times
 from roomstar.plans import quality, reports, serving, warehouse
-from roomstar.schema import METRICS_SCHEMA
+from roomstar.operators import sketches
+from roomstar.operators.joins import maybe_broadcast
+from roomstar.schema import LATE_SLICES, LATE_STRETCH, METRICS_SCHEMA, VIEWERS_RSD, WINDOW
 from roomstar.session import configure, work_dir
 from roomstar.sinks import states as state_store
 from roomstar.sinks.events import to_json_lines
@@ -24,6 +26,7 @@ from roomstar.sources.lake import driver_table, fixture_events, read_lake, read_
 from roomstar.sources.stream import decode
 from roomstar.streaming import rollup as stream_rollup
 from roomstar.streaming.replay import replay as stream_replay_run
+from roomstar.streaming.replay import replay_slices
 
 _BUILDS: dict[tuple[str, str], warehouse.Warehouse] = {}
 
@@ -74,9 +77,8 @@ _STREAMS: dict[tuple[str, str], str] = {}
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> str:
-    """Replay the fixture events through the real-time layer once (NDJSON files, then the
-    raw sink, the window sink and the incremental rollup), in event-time slices of bounded
-    size; see streaming/replay.py. Multi-batch lateness is covered by the streaming tests."""
+    """Replay the fixture events through the real-time layer once, in event-time slices of
+    bounded size; see streaming/replay.py."""
     configure(spark)
     key = _key(spark, sf_dir)
     if key not in _STREAMS:
@@ -86,9 +88,97 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> str:
     return _STREAMS[key]
 
 
-def realtime_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_parquet_dir(spark, f"{stream_replay(spark, sf_dir)}/room_metrics", METRICS_SCHEMA,
-                            required=False)
+def _metrics(spark: SparkSession, base: str) -> DataFrame:
+    return read_parquet_dir(spark, f"{base}/room_metrics", METRICS_SCHEMA, required=False)
+
+
+def checked_windows(spark: SparkSession, sf_dir: str, metrics=lambda df: df) -> DataFrame:
+    """``metrics`` of the window sink, with the exact viewers counted from the lake, and whether
+    the sink's estimate is near them."""
+    base = stream_replay(spark, sf_dir)
+    found = metrics(_metrics(spark, base)).withColumnRenamed("unique_viewers", "_estimate")
+    exact = (read_lake(spark, f"{base}/lake").groupBy(F.window("event_ts", WINDOW), "room_id")
+             .agg(F.countDistinct("user_id").alias("unique_viewers"))
+             .select(F.col("window.start").alias("window_start"), F.col("room_id").alias("_room"), "unique_viewers"))
+    near = sketches.within_tolerance("_estimate", "unique_viewers", rse=VIEWERS_RSD)
+    same_room = F.col("_room").eqNullSafe(F.col("room_id"))
+    return ntz_times(found.join(exact, [found.window_start == exact.window_start, same_room])
+                     .drop(exact.window_start).withColumn("estimate_ok", near).drop("_room", "_estimate"))
+
+
+def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in arrival order, late by up to days, in LATE_SLICES slices of equal time.
+    Rows of windows that the watermark has passed are dropped, so counts are lower than in
+    event-time order."""
+    configure(spark)
+    base = work_dir(spark)
+    events = fixture_events(spark, sf_dir)
+    sent, came = F.unix_micros("event_ts"), F.unix_micros("ingest_ts")
+    arrived = events.withColumn("_arrival", sent + (came - sent) * LATE_STRETCH)
+    span = arrived.agg(F.min("_arrival").alias("lo"), F.max("_arrival").alias("hi"))
+
+    def sliced() -> DataFrame:
+        lo, hi = span.first()
+        width = max(1, (hi - lo) // LATE_SLICES) if lo is not None else 1
+        cut = F.least(F.floor((F.col("_arrival") - F.lit(lo or 0)) / F.lit(width)), F.lit(LATE_SLICES - 1))
+        return arrived.withColumn("_slice", F.coalesce(cut, F.lit(0)).cast("int")).drop("_arrival")
+
+    replay_slices(spark, sliced, base)
+    return ntz_times(_metrics(spark, base)).drop("unique_viewers", "last_ingest_ts").select(
+        "window_start", "window_end", "room_id", "events", "gifts", "coins", "comments")
+
+
+def multi_load_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R10 over many loads: the detail arrives in three loads of which the second is first sent
+    with rows that do not belong to it and then sent again, with a compaction in between, after
+    a generation of other rows was replaced by a full reload."""
+    rows = serving_for(spark, sf_dir).detail()
+    s = serving.Serving(spark, work_dir(spark))
+    part = F.pmod(F.xxhash64("room_id", "user_id"), F.lit(3))
+    serving.append(s, rows.where(part == 2), 0)
+    serving.reload(s, rows.where(part == 0), 0)
+    serving.append(s, rows, 1)                           # wrong: everything
+    serving.append(s, rows.where(part == 1), 1)          # sent again
+    s.compact_rollup(10)
+    serving.append(s, rows.where(part == 2), 2)
+    s.compact_rollup(2)
+    exact = (s.detail().groupBy("event_date", "room_id")
+             .agg(F.countDistinct("user_id").alias("users")))
+    merged = stream_rollup.merged(s.rollup()).withColumnRenamed("users", "_estimate")
+    return _with_check(merged.join(exact, ["event_date", "room_id"], "left"))
+
+
+def _with_check(df: DataFrame) -> DataFrame:
+    """``_estimate`` replaced by whether it is near the exact ``users``."""
+    return df.withColumn("estimate_ok", sketches.within_tolerance("_estimate", "users")).drop("_estimate")
+
+
+def _exact_users(s: serving.Serving, found: DataFrame, *keys: str) -> DataFrame:
+    """A serving query's rows with exact users beside its estimate's flag."""
+    exact = s.detail().groupBy(*keys).agg(F.countDistinct("user_id").alias("users")).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], "users")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return _with_check(found.withColumnRenamed("users", "_estimate").join(exact, same)
+                       .drop(*[f"_{k}" for k in keys]))
+
+
+def incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = stream_replay(spark, sf_dir)
+    exact = (warehouse.staging(read_lake(spark, f"{base}/lake")).where("room_id IS NOT NULL")
+             .groupBy(F.to_date("event_ts").alias("event_date"), "room_id")
+             .agg(F.countDistinct("user_id").alias("users")))
+    found = stream_rollup.merged(state_store.read(spark, f"{base}/rollup"))
+    return _with_check(found.withColumnRenamed("users", "_estimate").join(exact, ["event_date", "room_id"]))
+
+
+def lake_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 hand-over: a warehouse built from the streamed lake, its fact with natural keys."""
+    wh = warehouse.build(spark, read_lake(spark, f"{stream_replay(spark, sf_dir)}/lake"), work_dir(spark))
+    f = wh.table("fact_live_engagement").drop("avg_ingest_lag_s")
+    for dim, key, cols in (("dim_room", "room_key", ["room_id"]), ("dim_user", "user_key", ["user_id", "country"]),
+                           ("dim_gift", "gift_key", ["gift_name", "gift_tier"])):
+        f = f.join(maybe_broadcast(wh.table(dim).select(key, *cols), wh.rows[dim]), key).drop(key)
+    return f
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,13 +192,13 @@ def dq_report(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFra
     stg, fact = wh.table("stg_events"), wh.table("fact_live_engagement")
     if broken:
         stg, fact = quality.inject_faults(stg, fact)
-    return quality.quality_report(stg, fact, wh.dims())
+    return quality.quality_report(stg, fact, wh.dims(), wh.rows)
 
 
 def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse_for(spark, sf_dir)
     _, fact = quality.inject_faults(wh.table("stg_events"), wh.table("fact_live_engagement"))
-    return quality.orphan_rows(fact, wh.dims())
+    return quality.orphan_rows(fact, wh.dims(), wh.rows)
 
 
 def _serve(fn) -> Callable[[SparkSession, str], DataFrame]:
@@ -138,11 +228,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_report": dq_report,
     "dq_report_broken": lambda spark, sf: dq_report(spark, sf, broken=True),
     "orphan_rows": orphan_rows,
-    "olap_detail": _serve(lambda s: s.detail().drop("load_id")),
+    "olap_detail": _serve(lambda s: s.detail()),
     "olap_revenue_by_tier": _serve(serving.revenue_by_tier),
-    "olap_top_rooms": _serve(serving.top_rooms),
-    "olap_country": _serve(serving.country_breakdown),
-    "room_daily_rollup": _serve(serving.daily_rollup),
+    "olap_top_rooms": _serve(lambda s: _exact_users(s, serving.top_rooms(s), "room_id")),
+    "olap_country": _serve(lambda s: _exact_users(s, serving.country_breakdown(s), "country")),
+    "room_daily_rollup": _serve(lambda s: _exact_users(s, serving.daily_rollup(s), "event_date", "room_id")),
+    "rollup_multi_load": multi_load_rollup,
     "olap_running_total": _serve(serving.running_total),
     "olap_running_total_first10": _serve(lambda s: serving.running_total(s, 10)),
     "rollup_reconcile": _serve(serving.rollup_reconcile),
@@ -152,9 +243,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_pruned_orders": lambda spark, sf: serving.orders_window_summary(
         spark, orders_layout(spark, sf), *ORDERS_WINDOW),
     "stream_raw_append": lambda spark, sf: ntz_times(read_lake(spark, f"{stream_replay(spark, sf)}/lake")),
-    "stream_room_windows": lambda spark, sf: ntz_times(realtime_metrics(spark, sf)),
-    "realtime_latest": lambda spark, sf: ntz_times(reports.realtime_latest(realtime_metrics(spark, sf))),
-    "stream_incremental_rollup": lambda spark, sf: stream_rollup.merged(
-        state_store.read(spark, f"{stream_replay(spark, sf)}/rollup")),
+    "stream_room_windows": checked_windows,
+    "realtime_latest": lambda spark, sf: checked_windows(spark, sf, reports.realtime_latest),
+    "stream_incremental_rollup": incremental_rollup,
+    "stream_late_drop": late_drop,
+    "lake_fact": lake_fact,
     "json_roundtrip": json_roundtrip,
 }
