@@ -4,8 +4,8 @@ and star-shaped candidate links, confirmed on full shingle sets.
 Two texts are linked if their sets of word shingles have a similarity (intersection over union)
 of at least ``threshold``; the result is the classes of linked texts.
 
-1. Each text's distinct shingles are hashed once. The range of hashes is cut into ``BINS`` bins;
-   a bin's smallest hash is its signature value and empty bins copy from bins picked by a
+1. Each text's distinct shingles are hashed once. The range of hashes is cut into ``ROWS`` bins
+   for each band; a bin's smallest hash is its signature value and empty bins copy from bins picked by a
    fixed sequence of trials. ``ROWS`` values make a band. Texts with equal sets become one node,
    so groups of copies shrink to a row before anything is paired.
 2. A bucket is the nodes with an equal band. Its smallest node is the hub and is compared with
@@ -17,7 +17,8 @@ of at least ``threshold``; the result is the classes of linked texts.
    larger ones are compared block by block inside the tasks, which return a star of links for
    each class they find. So no link is lost to the star shape and no group is paired out.
 
-A link at similarity 0.85 is missed by all bands with a probability below one in a million.
+There are as many bands as it takes (``bands_for``) that a link at the threshold is missed by all
+of them with a probability below one in a million: 24 at 0.85, 35 at 0.8.
 
 Null, empty and blank texts have no shingles and are classes of their own. Fewer words than a
 shingle has make one shingle. Rows that share an id are nodes of their own by their texts; a
@@ -27,6 +28,7 @@ null id never is a class's smallest id unless the class has no other.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +42,8 @@ from roomstar.operators.joins import maybe_broadcast
 from roomstar.session import checkpoint_dir, work_dir
 
 SHINGLE = 5
-BANDS, ROWS = 24, 5
-BINS = BANDS * ROWS
+ROWS = 5      # signature values of a band
+MISS = 1e-6   # probability that no band holds a link at the threshold
 SMALL = 16  # members of a group whose pairs of different classes are joined as pairs
 BLOCK = 512   # members of a larger group's block
 
@@ -72,23 +74,29 @@ def shingles(column, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     return h[new], per_text(whose[new], n)
 
 
-def signatures(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """One row of BINS values per text that has shingles."""
+def bands_for(threshold_percent: int) -> int:
+    """Bands that together miss a pair at the threshold with a probability of at most MISS."""
+    same = (threshold_percent / 100) ** ROWS
+    return 1 if same >= 1 else math.ceil(math.log(MISS) / math.log1p(-same))
+
+
+def signatures(h: np.ndarray, at: np.ndarray, bins: int) -> np.ndarray:
+    """One row of ``bins`` values per text that has shingles."""
     texts = np.flatnonzero(np.diff(at))
     owner = np.repeat(np.arange(len(texts)), np.diff(at)[texts])
-    bin_of = ((h >> U64(32)) * U64(BINS)) >> U64(32)
-    cell = owner * BINS + bin_of.astype(np.int64)
+    bin_of = ((h >> U64(32)) * U64(bins)) >> U64(32)
+    cell = owner * bins + bin_of.astype(np.int64)
     new = np.ones(len(cell), bool)
     new[1:] = cell[1:] != cell[:-1]  # hashes ascend, so a bin's first is its smallest
-    out = np.zeros((len(texts), BINS), U64)
-    full = np.zeros((len(texts), BINS), bool)
+    out = np.zeros((len(texts), bins), U64)
+    full = np.zeros((len(texts), bins), bool)
     out.reshape(-1)[cell[new]] = h[new]
     full.reshape(-1)[cell[new]] = True
     row, col = np.nonzero(~full)
     trial = 0
     while len(row):
         trial += 1
-        to = (mix(col.astype(U64) * U64(0x10001) + U64(trial)) % U64(BINS)).astype(np.int64)
+        to = (mix(col.astype(U64) * U64(0x10001) + U64(trial)) % U64(bins)).astype(np.int64)
         hit = full[row, to]
         out[row[hit], col[hit]] = out[row[hit], to[hit]]
         row, col = row[~hit], col[~hit]
@@ -97,7 +105,8 @@ def signatures(h: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
     """One 64-bit key per band; equal keys of different bands differ in their number."""
-    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=U64) * U64(0xA0761D6478BD642F), (len(signature), BANDS))
+    bands = signature.shape[1] // ROWS
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=U64) * U64(0xA0761D6478BD642F), (len(signature), bands))
     for r in range(ROWS):
         key = mix(key * U64(0x9E3779B97F4A7C15) + signature[:, r::ROWS])
     return key
@@ -110,16 +119,18 @@ def _node_of(h: np.ndarray, at: np.ndarray) -> list[bytes | None]:
             for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
-def _signed(batches):
-    for part in slices(batches, "text"):
-        h, at = shingles(part.column("text"))
-        count = np.diff(at)
-        keys = band_keys(signatures(h, at)).astype(np.int64)
-        ends = np.cumsum(np.where(count > 0, BANDS, 0))
-        bands = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(keys.ravel()))
-        yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(count), pa.array(_node_of(h, at), pa.binary()), bands],
-            ["doc_id", "n_shingles", "node", "bands"])
+def _signed(bands: int):
+    def run(batches):
+        for part in slices(batches, "text"):
+            h, at = shingles(part.column("text"))
+            count = np.diff(at)
+            keys = band_keys(signatures(h, at, bands * ROWS)).astype(np.int64)
+            ends = np.cumsum(np.where(count > 0, bands, 0))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(count), pa.array(_node_of(h, at), pa.binary()), lists],
+                ["doc_id", "n_shingles", "node", "bands"])
+    return run
 
 
 def _confirm(threshold_percent: int):
@@ -279,7 +290,8 @@ def classes(docs: DataFrame, threshold_percent: int = 85, id_col: str = "doc_id"
     checkpoint_dir(spark)
     docs = id_and_text(docs, id_col, text_col)
     path = work_dir(spark)
-    docs.mapInArrow(_signed, "doc_id long, n_shingles long, node binary, bands array<long>").write.parquet(path)
+    docs.mapInArrow(_signed(bands_for(threshold_percent)),
+                    "doc_id long, n_shingles long, node binary, bands array<long>").write.parquet(path)
     signed = spark.read.parquet(path)
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
     members = nodes.select(F.explode("bands").alias("key"), "node")
