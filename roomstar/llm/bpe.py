@@ -10,7 +10,8 @@ Bytes that are not printable characters are mapped to characters above U+0100 be
 (``byte_chars``); decoding reverses that table, so a character split over several tokens is put
 together again from its bytes.
 
-Null and empty texts have no ids. Special-token strings inside a text are ordinary text.
+Null and empty texts have no ids. The added tokens of a tokenizers file are taken out of the texts
+first, as the library does; a model made from ranks has none, so such strings are ordinary text.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import base64
 import json
 import os
+import re
 import unicodedata
 from collections.abc import Sequence
 
@@ -82,16 +84,25 @@ def tokenizer_json(ranks: dict[bytes, int]) -> str:
 
 
 def load_tokenizer(spec: str):
-    """Tokenizer from a JSON string, without its own splitting and special tokens: it is only
-    given single pre-tokens."""
+    """Tokenizer from a JSON string, without its own splitting: it is only given single pre-tokens
+    and added tokens."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer, pre_tokenizers
     tok = Tokenizer.from_str(spec)
     tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    tok.encode_special_tokens = True
     return tok
 
 
+def added_pattern(spec: str) -> re.Pattern[bytes] | None:
+    """Finds the added tokens of a tokenizers JSON string in UTF-8 bytes, the longest first; none if
+    it has none."""
+    tokens = json.loads(spec).get("added_tokens") or []
+    if any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise NotImplementedError("added tokens that depend on what is around them")
+    names = sorted((t["content"].encode() for t in tokens), key=len, reverse=True)
+    return re.compile(b"|".join(map(re.escape, names))) if names else None
+
+
 # --- splitting --------------------------------------------------------------------------------
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
@@ -179,6 +190,7 @@ class Encoder:
 
     def __init__(self, spec: str) -> None:
         self._tok = load_tokenizer(spec)
+        self._added = added_pattern(spec)
         self._clear()
 
     def _clear(self) -> None:
@@ -201,6 +213,23 @@ class Encoder:
         self._at = np.insert(self._at, where, at)
         self._len = np.insert(self._len, where, count)
 
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Byte positions where pre-tokens and added tokens start, and of all code points + end."""
+        points, text_at, byte_at = code_points(data, offsets)
+        raw = data.tobytes()
+        if self._added is None or not self._added.search(raw):
+            return byte_at[split(points, text_at)], byte_at
+        found = np.array([m.span() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+                          for m in self._added.finditer(raw, a, b)], np.int64).reshape(-1, 2)
+        if not len(found):
+            return byte_at[split(points, text_at)], byte_at
+        # The texts between added tokens are split each for itself; an added token is one piece.
+        edges = np.searchsorted(byte_at, np.unique(np.concatenate([offsets, found.ravel()])))
+        start = byte_at[split(points, edges)]
+        token = np.searchsorted(found[:, 0], start, "right") - 1
+        inside = (token >= 0) & (start > found[token, 0]) & (start < found[token, 1])
+        return start[~inside], byte_at
+
     def encode(self, column) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text's ids) of a string column."""
         data, offsets = utf8(column)
@@ -221,8 +250,7 @@ class Encoder:
         if not len(data):
             none = np.zeros(0, np.uint32)
             return none, np.zeros(n + 1, np.int64), (none, none)
-        points, text_at, byte_at = code_points(data, offsets)
-        start = byte_at[split(points, text_at)]
+        start, byte_at = self._starts(data, offsets)
         end = np.append(start[1:], len(data))
         key = SpanHash(data).of(start, end)
         distinct, where, back = np.unique(key, return_index=True, return_inverse=True)
@@ -246,7 +274,7 @@ class Encoder:
         length = token_lengths(self._tok)[ids]
         stop = np.cumsum(length)
         begin = stop - length
-        lead = byte_at[:-1]
+        lead, text_at = byte_at[:-1], np.searchsorted(byte_at, offsets)
         owner = np.repeat(np.arange(n), np.diff(at))
         lo = np.searchsorted(lead, begin, "right") - 1 - text_at[owner]
         hi = np.searchsorted(lead, stop, "left") - text_at[owner]
