@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomstar.llm import bpe, decontaminate, fingerprints, html, language, near_dedup, quality, suffix_dedup, token_files, url_filter
+from roomstar.llm import (bpe, decontaminate, fingerprints, hard_negatives, html, language, lexical_search, license_scan,
+                          near_dedup, quality, suffix_dedup, token_files, url_filter)
 from roomstar.session import configure, work_dir
 
 
@@ -92,6 +93,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality": op2_quality,
@@ -103,4 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_near_dedup": op10_near_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_license_scan": op12_license_scan,
+    "op13_lexical_search": op13_lexical_search,
 }
