@@ -5,7 +5,7 @@
     warehouse  --root DIR                       build + quality gate (exit 1 on failure)
     serve      --root DIR                       serving layout, rollup, serving queries
     report     --root DIR                       dashboard tiles and the quality panel
-    compact    --root DIR --upto N              fold rollup loads <= N into one generation
+    fold       --root DIR --to DIR              the streamed rollup's loads as one load elsewhere
     lineage    [--column NAME] [--json]         lineage, impact, catalog gaps
     all        --sf DIR --root DIR              every step above, in order
 """
@@ -60,9 +60,9 @@ def main(argv=None) -> int:
             p.add_argument("--rocksdb", action="store_true", help="RocksDB state store")
             p.add_argument("--starting-offsets", default="latest")
             p.add_argument("--max-offsets", type=int, default=None, help="Kafka records per trigger")
-    cp = sub.add_parser("compact")
-    cp.add_argument("--root", required=True)
-    cp.add_argument("--upto", type=int, required=True)
+    fp = sub.add_parser("fold")
+    fp.add_argument("--root", required=True)
+    fp.add_argument("--to", required=True)
     lp = sub.add_parser("lineage")
     lp.add_argument("--column", action="append", help="show what derives from it (repeatable)")
     lp.add_argument("--json", action="store_true")
@@ -91,10 +91,10 @@ def main(argv=None) -> int:
         return 0
 
     p = runner.Paths(args.root)
-    if args.cmd == "compact":
-        from roomstar.plans import serving as S
-        gen = S.Serving(spark, p.serving).compact_rollup(args.upto)
-        print(f"rollup generation {gen} committed")
+    if args.cmd == "fold":
+        from roomstar.sinks import states
+        states.fold(spark, p.rollup, args.to)
+        print(f"rollup folded into {args.to}")
     elif args.cmd == "produce":
         runner.produce(spark, args.sf, p.inbox)
     elif args.cmd == "stream":

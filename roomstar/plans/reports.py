@@ -6,10 +6,13 @@ Dimension joins broadcast only when the build manifest says the dimension is sma
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomstar.functions import rank_label, safe_ratio
+from roomstar.operators import sketches
 from roomstar.operators.joins import maybe_broadcast, one_row
 from roomstar.plans.warehouse import Warehouse
 from roomstar.schema import FACT, NO_GIFT
@@ -110,7 +113,24 @@ def by_country(wh: Warehouse) -> DataFrame:
                     .orderBy(F.desc("coins"), F.asc_nulls_last("country")))
 
 
+def newest_days(metrics: DataFrame, n: int) -> DataFrame:
+    """The newest days of the real-time sink that hold at least ``n`` rows together (all days, if
+    fewer). Days are taken from the sink's listing; rows are counted from the footers of one day at a time."""
+    found = {m[1] for f in metrics.inputFiles() if (m := re.search(r"/day=(\d{4}-\d\d-\d\d)/", f))}
+    for day in sorted(found, reverse=True):
+        n -= metrics.where(F.col("day") == F.lit(day).cast("date")).count()
+        if n <= 0:
+            return metrics.where(F.col("day") >= F.lit(day).cast("date"))
+    return metrics
+
+
 def realtime_latest(metrics: DataFrame, n: int = 20) -> DataFrame:
     """O3: the newest windows of the real-time sink, richest room first."""
-    return (metrics.select("window_start", "window_end", "room_id", "unique_viewers", "gifts", "coins")
+    return (newest_days(metrics, n).select("window_start", "window_end", "room_id", "unique_viewers", "gifts", "coins")
                    .orderBy(F.desc("window_start"), F.desc_nulls_last("coins"), "room_id").limit(n))
+
+
+def viewers_by_hour(metrics: DataFrame) -> DataFrame:
+    """Estimated viewers and events per (hour, room), from the sketches of the sink's windows alone."""
+    return (metrics.groupBy(F.date_trunc("hour", "window_start").alias("hour"), "room_id")
+                   .agg(sketches.estimate(sketches.merge("viewers_sketch")).alias("viewers"), F.sum("events").alias("events")))

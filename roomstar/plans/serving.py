@@ -1,17 +1,21 @@
-"""OLAP serving layer: the flattened fact in a month-partitioned sorted layout, a rollup
-of mergeable per-(day, room) states maintained with every load, and the serving queries.
-
-Layout: ``<base>/gen=G/olap_detail/<attempt>/ym=YYYYMM/*.parquet`` sorted by (event_date, room_id,
-user_id), ``<base>/gen=G/agg_room_daily/<attempt>/ym=YYYYMM`` with partial sums and HLL sketches,
-and one load log per generation. A load writes its detail, derives the states from the rows it has
-written and then commits both with one log entry. A full reload starts a new generation, published
-by an entry of the log of ``<base>`` once its load is complete; the generation before it stays
-for running readers, older ones are deleted.
+"""OLAP serving layer: the flattened fact in a month-partitioned sorted layout, mergeable states
+written with every load, and the serving queries.
+
+A layer is ``<base>/layers/<id>``: ``olap_detail/writer=load/load_id=N/ym=YYYYMM`` sorted by (event_date,
+room_id, user_id), and beside it the states of each load (``sinks/states.py``): sums with HLL
+sketches and exact user bitmaps per (day, room), coins with user bitmaps per (month, country).
+A load writes its detail, then the states from the rows it has written; each is one folder that is
+replaced as a whole, so a load that failed in between is made whole by sending it again.
+
+A full refresh is a new layer with one load, published by a marker once it is complete. Readers
+open the newest published layer; the one before stays for those that run, older ones are deleted.
+User bitmaps are over ``user_key``, so the loads of a layer come from one warehouse build.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -20,13 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from roomstar.functions import month_bounds, readable_size, year_month
-from roomstar.operators import sketches
+from roomstar.operators import bitmaps, sketches
 from roomstar.operators.joins import maybe_broadcast
-from roomstar.plans.warehouse import Warehouse
-from roomstar.schema import FACT, OLAP_DETAIL, ROOM_DAILY
+from roomstar.plans.warehouse import Warehouse, side_by_side
+from roomstar.schema import COUNTRY_USERS, FACT, OLAP_DETAIL, ROOM_DAILY, ROOM_USERS
 from roomstar.sinks import states
 from roomstar.sinks.files import delete, files_for, write_partitioned_sorted
-from roomstar.sinks.loads import LoadLog
 
 DETAIL_SORT = ["event_date", "room_id", "user_id"]
 DETAIL_BLOOM = ["user_id"]  # user lookups across dates and rooms
@@ -34,7 +37,7 @@ DETAIL_COLUMNS = ["event_date", "room_id", "user_id", "gift_name", "gift_tier",
                   "event_count", "joins", "comments", "gifts", "coins"]
 _TYPES = {"event_date": DateType(), **dict.fromkeys(DETAIL_COLUMNS[6:], LongType())}
 DETAIL_SCHEMA = StructType([*[StructField(c, _TYPES.get(c, StringType())) for c in DETAIL_COLUMNS],
-                            StructField("ym", IntegerType())])
+                            StructField("user_key", LongType()), StructField("ym", IntegerType())])
 WRITER = "load"
 
 
@@ -48,7 +51,7 @@ def detail_rows(wh: Warehouse) -> DataFrame:
             .join(dim("dim_room", "room_key", "room_id"), "room_key")
             .join(dim("dim_user", "user_key", "user_id", "country"), "user_key")
             .join(dim("dim_gift", "gift_key", "gift_name", "gift_tier"), "gift_key"))
-    return out.select(*DETAIL_COLUMNS, year_month("event_date").alias("ym"))
+    return out.select(*DETAIL_COLUMNS, "user_key", year_month("event_date").alias("ym"))
 
 
 def room_daily_states(detail: DataFrame) -> DataFrame:
@@ -59,86 +62,87 @@ def room_daily_states(detail: DataFrame) -> DataFrame:
                        sketches.sketch("user_id").alias("users_sketch")))
 
 
+def room_users(detail: DataFrame) -> DataFrame:
+    """Exact users of one load per (day, room), as bitmaps."""
+    return (detail.groupBy("ym", "event_date", "room_id", bitmaps.bucket("user_key"))
+                  .agg(bitmaps.construct("user_key").alias("users")))
+
+
+def country_users(detail: DataFrame) -> DataFrame:
+    """Coins and exact users of one load per (month, country)."""
+    return (detail.groupBy("ym", "country", bitmaps.bucket("user_key"))
+                  .agg(F.sum("coins").alias("coins"), bitmaps.construct("user_key").alias("users")))
+
+
+_STATES = {ROOM_DAILY: room_daily_states, ROOM_USERS: room_users, COUNTRY_USERS: country_users}
+
+
 @dataclass
 class Serving:
-    """Readers of the published generation, made once and dropped whenever this process writes
-    to the layer (a reader keeps the file list it was made with)."""
+    """Readers of one layer, made once and dropped whenever this process writes to it (a reader
+    keeps the file list it was made with)."""
     spark: SparkSession
     path: str
     _readers: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
-    def log(self) -> LoadLog:
-        """Load log of the published generation."""
-        generation = LoadLog(self.spark, self.path).state().generation
-        if generation is None:
-            raise FileNotFoundError(f"no published serving generation under {self.path}")
-        return LoadLog(self.spark, f"{self.path}/{generation}")
-
     def invalidate(self) -> None:
         self._readers.clear()
 
+    def table(self, name: str) -> DataFrame:
+        if name not in self._readers:
+            schema = DETAIL_SCHEMA if name == OLAP_DETAIL else states.SCHEMAS[name]
+            self._readers[name] = states.read_table(self.spark, self.path, name, schema)
+        return self._readers[name]
+
     def detail(self) -> DataFrame:
-        if OLAP_DETAIL not in self._readers:
-            log = self.log()
-            self._readers[OLAP_DETAIL] = log.read(OLAP_DETAIL, DETAIL_SCHEMA, log.state().folders())
-        return self._readers[OLAP_DETAIL]
+        return self.table(OLAP_DETAIL)
 
     def rollup(self) -> DataFrame:
-        """Rollup states visible now (newest compaction and the loads it does not cover)."""
-        if ROOM_DAILY not in self._readers:
-            self._readers[ROOM_DAILY] = states.read(self.spark, self.log().root)
-        return self._readers[ROOM_DAILY]
-
-    def compact_rollup(self, upto_load_id: int) -> int:
-        seq = states.compact(self.spark, self.log().root, upto_load_id, keep_folders=True)
-        self.invalidate()
-        return seq
+        """(day, room) states of all loads."""
+        return self.table(ROOM_DAILY)
 
     def detail_between(self, lo: str, hi: str) -> DataFrame:
         return in_date_range(self.detail(), "event_date", lo, hi)
 
 
-def _write_load(log: LoadLog, rows: DataFrame, load_id: int, num_files: int | None = None) -> None:
-    folder = log.attempt(WRITER, load_id)
-    write_partitioned_sorted(rows.select(*DETAIL_SCHEMA.names), f"{log.root}/{OLAP_DETAIL}/{folder}", "ym",
-                             DETAIL_SORT, mode="error", bloom_cols=DETAIL_BLOOM, num_files=num_files)
-    written = log.read(OLAP_DETAIL, DETAIL_SCHEMA, [folder])
-    states.write(log, folder, room_daily_states(written))
-    log.append("load", folder, WRITER, load_id)
-
-
-def _new_generation(s: Serving, rows: DataFrame, load_id: int, num_files: int | None = None) -> None:
-    """A generation that holds one load; published when complete."""
-    top = LoadLog(s.spark, s.path)
-    old = [e for e in top._entries()]
-    name = f"gen={uuid.uuid4().hex}"
-    _write_load(LoadLog(s.spark, f"{s.path}/{name}"), rows, load_id, num_files)
-    top.append("generation", name)
-    for entry in old[:-1]:
-        delete(s.spark, f"{s.path}/{entry['folder']}")
-        delete(s.spark, f"{s.path}/_log/seq={entry['seq']}")
+def append(s: Serving, rows: DataFrame, load_id: int, num_files: int | None = None) -> None:
+    """K5 + insert trigger: add detail rows (DETAIL_SCHEMA) and the states of exactly these rows.
+    A load id that is there already is replaced as a whole."""
+    folder = states.load_path(s.path, OLAP_DETAIL, WRITER, load_id)
+    write_partitioned_sorted(rows.select(*DETAIL_SCHEMA.names), folder, "ym", DETAIL_SORT, bloom_cols=DETAIL_BLOOM,
+                             num_files=num_files)
+    written = s.spark.read.schema(DETAIL_SCHEMA).parquet(folder)
+    side_by_side(s.spark, [lambda t=t, make=make: states.write_load(s.path, WRITER, load_id, make(written), t)
+                           for t, make in _STATES.items()])
     s.invalidate()
 
 
-def load(wh: Warehouse, base: str, load_id: int = 0) -> Serving:
-    """Full refresh of the serving layer from a published warehouse build."""
-    s = Serving(wh.spark, base.rstrip("/"))
-    _new_generation(s, detail_rows(wh), load_id, files_for(wh.spark, wh.rows.get(FACT)))
+def refresh(spark: SparkSession, rows: DataFrame, base: str, load_id: int = 0, num_files: int | None = None) -> Serving:
+    """A new layer that holds one load, published when it is complete."""
+    layers = f"{base.rstrip('/')}/layers"
+    name = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"  # names sort by time
+    s = Serving(spark, f"{layers}/{name}")
+    append(s, rows, load_id, num_files)
+    (spark.createDataFrame([(name,)], "layer string").coalesce(1).write.mode("overwrite").json(f"{s.path}/_published"))
+    for old in _published(spark, base)[:-2]:
+        delete(spark, f"{layers}/{old}")
     return s
 
 
-def reload(s: Serving, rows: DataFrame, load_id: int = 0) -> None:
-    """Replace the whole layer by detail rows: a new generation that holds one load."""
-    _new_generation(s, rows, load_id)
+def _published(spark: SparkSession, base: str) -> list[str]:
+    """Published layers, oldest first (at most three are there)."""
+    marks = spark.read.schema("layer string").json(f"{base.rstrip('/')}/layers/*/_published")
+    return sorted(r["layer"] for r in marks.collect())
 
 
-def append(s: Serving, rows: DataFrame, load_id: int) -> None:
-    """K5 + insert trigger: add detail rows and the rollup states of exactly these rows. A load
-    id that is there already is replaced as a whole; one that is compacted raises CoveredLoad."""
-    if LoadLog(s.spark, s.path).state().generation is None:
-        return _new_generation(s, rows, load_id)
-    _write_load(s.log(), rows, load_id)
-    s.invalidate()
+def latest(spark: SparkSession, base: str) -> Serving:
+    """The newest published layer under ``base``."""
+    return Serving(spark, f"{base.rstrip('/')}/layers/{_published(spark, base)[-1]}")
+
+
+def load(wh: Warehouse, base: str, load_id: int = 0) -> Serving:
+    """Full refresh of the serving layer from a published warehouse build."""
+    return refresh(wh.spark, detail_rows(wh), base, load_id, files_for(wh.spark, wh.rows.get(FACT)))
 
 
 # ---------------------------------------------------------------- month pruning
@@ -187,17 +191,32 @@ def revenue_by_tier(s: Serving) -> DataFrame:
 
 
 def top_rooms(s: Serving, n: int = 10) -> DataFrame:
-    return (s.detail().groupBy("room_id")
-             .agg(F.sum("coins").alias("coins"), sketches.approx_distinct("user_id").alias("users"))
+    """Coins and estimated users of the best rooms, from the states of all loads."""
+    return (s.rollup().groupBy("room_id")
+             .agg(F.sum("coins").alias("coins"), sketches.estimate(sketches.merge("users_sketch")).alias("users"))
              .orderBy(F.desc("coins"), "room_id").limit(n))
 
 
 def country_breakdown(s: Serving) -> DataFrame:
+    """Estimated users and coins of each country, from the detail."""
     return (s.detail().groupBy("country")
              .agg(sketches.approx_distinct("user_id").alias("users"), F.sum("coins").alias("coins"))
              .orderBy(F.desc("coins"), F.asc_nulls_last("country")))
 
 
+def country_exact(s: Serving) -> DataFrame:
+    """Exact users and coins of each country, from the states alone."""
+    return (s.table(COUNTRY_USERS).groupBy("country", bitmaps.BUCKET)
+             .agg(F.sum("coins").alias("coins"), F.bitmap_count(F.bitmap_or_agg("users")).alias("users"))
+             .groupBy("country").agg(F.sum("users").alias("users"), F.sum("coins").alias("coins"))
+             .orderBy(F.desc("coins"), F.asc_nulls_last("country")))
+
+
+def exact_users(s: Serving, *keys: str) -> DataFrame:
+    """Exact users for each value of ``keys`` (of day and room), from the bitmaps of all loads."""
+    return bitmaps.count_distinct(s.table(ROOM_USERS), "users", *keys)
+
+
 def daily_rollup(s: Serving, n: int | None = 10) -> DataFrame:
     """Per (day, room) merged from the rollup states of all loads."""
     out = (s.rollup().groupBy("event_date", "room_id")
@@ -223,37 +242,30 @@ def partition_rows(s: Serving) -> DataFrame:
 
 
 def partition_bytes(s: Serving) -> DataFrame:
-    """Rows, files and bytes on disk per month partition (file sizes from the scan's
-    file metadata, counted once per file)."""
-    per_file = (s.detail().select("ym", "_metadata.file_path", "_metadata.file_size")
-                 .groupBy("ym", "file_path", "file_size").agg(F.count(F.lit(1)).alias("rows")))
-    return (per_file.groupBy("ym")
-                    .agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"),
-                         F.sum("file_size").alias("bytes"))
-                    .withColumn("size", readable_size("bytes"))
-                    .orderBy("ym"))
+    """Rows, files and bytes on disk per month partition. Files and bytes come from the
+    listing, rows from the Parquet footers; no column of the detail is read."""
+    listed = (s.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{s.path}/{OLAP_DETAIL}")
+               .groupBy("ym").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
+    return (partition_rows(s).join(listed, "ym").select("ym", "rows", "files", "bytes")
+                             .withColumn("size", readable_size("bytes")).orderBy("ym"))
 
 
 def rollup_reconcile(s: Serving) -> DataFrame:
-    """The merged rollup against the detail re-aggregated, per (day, room): sums must be
-    equal, user estimates within 3 standard errors of the exact count."""
+    """The states of all loads against the detail re-aggregated, per (day, room): sums and
+    users must be equal."""
     keys = ["event_date", "room_id"]
-    r = (s.rollup().groupBy(*keys)
-          .agg(F.sum("coins").alias("r_coins"), F.sum("gifts").alias("r_gifts"),
-               F.sum("comments").alias("r_comments"),
-               sketches.estimate(sketches.merge("users_sketch")).alias("r_users")))
-    d = (s.detail().groupBy(*keys)
-          .agg(F.sum("coins").alias("d_coins"), F.sum("gifts").alias("d_gifts"),
-               F.sum("comments").alias("d_comments"),
-               F.countDistinct("user_id").alias("d_users")))
-    j = r.join(d, keys, "full_outer")
-    same = ((F.col("r_coins") == F.col("d_coins")) & (F.col("r_gifts") == F.col("d_gifts"))
-            & (F.col("r_comments") == F.col("d_comments")))
-    return j.agg(
+    sums = ["coins", "gifts", "comments"]
+    r = (s.rollup().groupBy(*keys).agg(*[F.sum(c).alias(f"r_{c}") for c in sums])
+          .join(exact_users(s, *keys).withColumnRenamed("users", "r_users"), keys, "full_outer"))
+    d = s.detail().groupBy(*keys).agg(*[F.sum(c).alias(f"d_{c}") for c in sums], F.countDistinct("user_id").alias("d_users"))
+    def differ(names):
+        same = F.lit(True)
+        for c in names:
+            same &= F.col(f"r_{c}") == F.col(f"d_{c}")
+        return F.count_if(~F.coalesce(same, F.lit(False)))
+    return r.join(d, keys, "full_outer").agg(
         F.count(F.lit(1)).alias("groups"),
-        F.count(F.when(F.col("d_coins").isNull(), 1)).alias("rollup_only"),
-        F.count(F.when(F.col("r_coins").isNull(), 1)).alias("detail_only"),
-        F.count(F.when(~F.coalesce(same, F.lit(False)), 1)).alias("sum_mismatches"),
-        F.count(F.when(~F.coalesce(sketches.within_tolerance("r_users", "d_users"), F.lit(False)), 1))
-         .alias("users_out_of_tolerance"),
+        F.count_if(F.col("d_coins").isNull()).alias("rollup_only"),
+        F.count_if(F.col("r_coins").isNull()).alias("detail_only"),
+        differ(sums).alias("sum_mismatches"), differ(["users"]).alias("user_mismatches"),
         F.sum("d_coins").alias("coins"))

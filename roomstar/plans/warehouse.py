@@ -10,16 +10,17 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomstar.functions import (
-    date_key, day_of_week, indicator, is_weekend, seconds_between, tier,
-)
+from roomstar.functions import indicator, seconds_between
 from roomstar.operators.joins import maybe_broadcast
-from roomstar.operators.keys import dense_keys
+from roomstar.plans.dimensions import dimensions
 from roomstar.schema import COMMENT, FACT, GIFT, JOIN, MODELS, NO_GIFT, STAGING
 from roomstar.sinks.files import TARGET_ROWS_PER_FILE
 
@@ -38,40 +39,6 @@ def staging(raw: DataFrame) -> DataFrame:
                        F.coalesce("comment_len", F.lit(0)).alias("comment_len")))
 
 
-def dim_date(stg: DataFrame) -> DataFrame:
-    d = F.col("full_date")
-    return (stg.select(F.to_date("event_ts").alias("full_date")).distinct()
-               .select(date_key(d).alias("date_key"), d,
-                       F.year(d).cast("long").alias("year"),
-                       F.month(d).cast("long").alias("month"),
-                       F.dayofmonth(d).cast("long").alias("day"),
-                       day_of_week(d).alias("day_of_week"),
-                       is_weekend(d).alias("is_weekend")))
-
-
-def dim_room(stg: DataFrame) -> DataFrame:
-    rooms = stg.groupBy("room_id").agg(F.min("event_ts").alias("first_seen_ts"),
-                                       F.max("event_ts").alias("last_seen_ts"))
-    return dense_keys(rooms, "room_id", "room_key").select(
-        "room_key", "room_id", "first_seen_ts", "last_seen_ts")
-
-
-def dim_user(stg: DataFrame) -> DataFrame:
-    """Country is the one on the user's first event that has a country (type-1);
-    ties on time go to the smaller event_id."""
-    first_known = F.when(F.col("country").isNotNull(), F.struct("event_ts", "event_id"))
-    users = stg.groupBy("user_id").agg(F.min_by("country", first_known).alias("country"),
-                                       F.min("event_ts").alias("first_seen_ts"))
-    return dense_keys(users, "user_id", "user_key").select(
-        "user_key", "user_id", "country", "first_seen_ts")
-
-
-def dim_gift(stg: DataFrame) -> DataFrame:
-    gifts = stg.groupBy("gift_name").agg(F.max("coins").alias("coin_value"))
-    return dense_keys(gifts, "gift_name", "gift_key").select(
-        "gift_key", "gift_name", "coin_value", tier("coin_value").alias("gift_tier"))
-
-
 FACT_MEASURES = ["event_count", "joins", "comments", "gifts", "coins", "comment_chars",
                  "avg_ingest_lag_s"]
 
@@ -138,6 +105,13 @@ def _write(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
     w.parquet(path)
 
 
+def side_by_side(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
+    """Run small jobs at the same time: each alone leaves most cores idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            done.result()
+
+
 def _rows_per_file(spark: SparkSession, rows: int) -> int:
     """File size cap for a table of at most ``rows`` rows: one file per core at small
     sizes (parallel scans), TARGET_ROWS_PER_FILE at large ones."""
@@ -166,12 +140,9 @@ def build(spark: SparkSession, raw: DataFrame, base: str, gate: bool = True) ->
     cap = _rows_per_file(spark, raw.count())  # row count from Parquet footers
     _write(staging(raw), f"{path}/{STAGING}", cap)
     stg = spark.read.parquet(f"{path}/{STAGING}")
-    makers = {"dim_date": dim_date, "dim_room": dim_room, "dim_user": dim_user, "dim_gift": dim_gift}
-    for name, make in makers.items():
-        _write(make(stg), f"{path}/{name}")
+    dims, dim_rows = dimensions(stg)
+    side_by_side(spark, [lambda name=name, dim=dim: _write(dim, f"{path}/{name}") for name, dim in dims.items()])
     wh = Warehouse(spark, path)
-    dim_rows = {r["model"]: r["rows"] for r in
-                _dim_counts(spark, path, list(makers)).collect()}
     _write(fact(stg, wh.dims(), dim_rows), f"{path}/{FACT}", cap)
     counts = _count_models(spark, path)
     _write(counts, f"{path}/_model_row_counts")
@@ -187,15 +158,6 @@ def build(spark: SparkSession, raw: DataFrame, base: str, gate: bool = True) ->
     return wh
 
 
-def _dim_counts(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    parts = [spark.read.parquet(f"{path}/{n}").groupBy().agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(n).alias("model"), "rows") for n in names]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def latest(spark: SparkSession, base: str) -> Warehouse:
     """The newest published build under ``base`` (build ids sort by time)."""
     marks = (spark.read.json(f"{base.rstrip('/')}/builds/*/_published")

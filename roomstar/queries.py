@@ -18,7 +18,7 @@ from roomstar.functions.types import ntz_times
 from roomstar.plans import quality, reports, serving, warehouse
 from roomstar.operators import sketches
 from roomstar.operators.joins import maybe_broadcast
-from roomstar.schema import LATE_SLICES, LATE_STRETCH, METRICS_SCHEMA, VIEWERS_RSD, WINDOW
+from roomstar.schema import ARRIVAL_SLICES, ARRIVAL_WATERMARK, METRICS_SCHEMA, WINDOW
 from roomstar.session import configure, work_dir
 from roomstar.sinks import states as state_store
 from roomstar.sinks.events import to_json_lines
@@ -26,7 +26,8 @@ from roomstar.sources.lake import driver_table, fixture_events, read_lake, read_
 from roomstar.sources.stream import decode
 from roomstar.streaming import rollup as stream_rollup
 from roomstar.streaming.replay import replay as stream_replay_run
-from roomstar.streaming.replay import replay_slices
+from roomstar.streaming.job import use_rocksdb_state
+from roomstar.streaming.replay import replay_slices, with_slices
 
 _BUILDS: dict[tuple[str, str], warehouse.Warehouse] = {}
 
@@ -44,7 +45,8 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
     key = _key(spark, sf_dir)
     if key not in _BUILDS:
         base = work_dir(spark, "warehouse", _tag(sf_dir))
-        _BUILDS[key] = warehouse.build(spark, fixture_events(spark, sf_dir), base)
+        warehouse.build(spark, fixture_events(spark, sf_dir), base)
+        _BUILDS[key] = warehouse.latest(spark, base)  # as another process would open it
     return _BUILDS[key]
 
 
@@ -59,7 +61,9 @@ def serving_for(spark: SparkSession, sf_dir: str) -> serving.Serving:
     key = _key(spark, sf_dir)
     if key not in _SERVING:
         wh = warehouse_for(spark, sf_dir)
-        _SERVING[key] = serving.load(wh, work_dir(spark, "serving", _tag(sf_dir)))
+        base = work_dir(spark, "serving", _tag(sf_dir))
+        serving.load(wh, base)
+        _SERVING[key] = serving.latest(spark, base)
     return _SERVING[key]
 
 
@@ -92,60 +96,83 @@ def _metrics(spark: SparkSession, base: str) -> DataFrame:
     return read_parquet_dir(spark, f"{base}/room_metrics", METRICS_SCHEMA, required=False)
 
 
+def _lake_between(spark: SparkSession, base: str, windows: DataFrame) -> DataFrame:
+    """The lake's events in the time span of some windows (pushed down to its files)."""
+    span = windows.agg(F.min("window_start").alias("lo"), F.max("window_end").alias("hi")).first()
+    ts = F.col("event_ts")
+    return read_lake(spark, f"{base}/lake").where((ts >= F.lit(span["lo"])) & (ts < F.lit(span["hi"])))
+
+
 def checked_windows(spark: SparkSession, sf_dir: str, metrics=lambda df: df) -> DataFrame:
     """``metrics`` of the window sink, with the exact viewers counted from the lake, and whether
     the sink's estimate is near them."""
     base = stream_replay(spark, sf_dir)
-    found = metrics(_metrics(spark, base)).withColumnRenamed("unique_viewers", "_estimate")
-    exact = (read_lake(spark, f"{base}/lake").groupBy(F.window("event_ts", WINDOW), "room_id")
+    found = metrics(_metrics(spark, base)).drop("viewers_sketch", "day").withColumnRenamed("unique_viewers", "_estimate")
+    exact = (_lake_between(spark, base, found).groupBy(F.window("event_ts", WINDOW), "room_id")
              .agg(F.countDistinct("user_id").alias("unique_viewers"))
              .select(F.col("window.start").alias("window_start"), F.col("room_id").alias("_room"), "unique_viewers"))
-    near = sketches.within_tolerance("_estimate", "unique_viewers", rse=VIEWERS_RSD)
+    near = sketches.within_tolerance("_estimate", "unique_viewers")
     same_room = F.col("_room").eqNullSafe(F.col("room_id"))
     return ntz_times(found.join(exact, [found.window_start == exact.window_start, same_room])
                      .drop(exact.window_start).withColumn("estimate_ok", near).drop("_room", "_estimate"))
 
 
-def late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events in arrival order, late by up to days, in LATE_SLICES slices of equal time.
-    Rows of windows that the watermark has passed are dropped, so counts are lower than in
-    event-time order."""
+def hourly_viewers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Viewers per (hour, room) merged from the sink's sketches, with the exact number of the lake."""
+    base = stream_replay(spark, sf_dir)
+    metrics = _metrics(spark, base)
+    found = reports.viewers_by_hour(metrics).withColumnRenamed("viewers", "_estimate")
+    exact = (_lake_between(spark, base, metrics).groupBy(F.date_trunc("hour", "event_ts").alias("_hour"), F.col("room_id").alias("_room"))
+             .agg(F.countDistinct("user_id").alias("viewers")))
+    same = (F.col("_hour") == F.col("hour")) & F.col("_room").eqNullSafe(F.col("room_id"))
+    return ntz_times(found.join(exact, same).withColumn("estimate_ok", sketches.within_tolerance("_estimate", "viewers"))
+                     .drop("_hour", "_room", "_estimate"))
+
+
+def resumed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replay that stops after half of its slices and is taken up again by another session,
+    with the state in RocksDB."""
     configure(spark)
     base = work_dir(spark)
     events = fixture_events(spark, sf_dir)
-    sent, came = F.unix_micros("event_ts"), F.unix_micros("ingest_ts")
-    arrived = events.withColumn("_arrival", sent + (came - sent) * LATE_STRETCH)
-    span = arrived.agg(F.min("_arrival").alias("lo"), F.max("_arrival").alias("hi"))
+    sliced = lambda: with_slices(events, 4)
+    for session, upto in ((spark.newSession(), 2), (spark.newSession(), 4)):
+        use_rocksdb_state(configure(session))
+        replay_slices(session, sliced, base, upto=upto)
+    return ntz_times(_metrics(spark, base)).drop("unique_viewers", "viewers_sketch", "day")
+
+
+def arrival_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in the order of their ``ingest_ts``, in slices of equal time, under a watermark
+    shorter than the lags; ``dropped`` is the number of rows that came too late, over all slices."""
+    configure(spark)
+    base = work_dir(spark)
+    events = fixture_events(spark, sf_dir)
+    came = F.unix_micros("ingest_ts")
 
     def sliced() -> DataFrame:
-        lo, hi = span.first()
-        width = max(1, (hi - lo) // LATE_SLICES) if lo is not None else 1
-        cut = F.least(F.floor((F.col("_arrival") - F.lit(lo or 0)) / F.lit(width)), F.lit(LATE_SLICES - 1))
-        return arrived.withColumn("_slice", F.coalesce(cut, F.lit(0)).cast("int")).drop("_arrival")
+        lo, hi = events.agg(F.min(came), F.max(came)).first()
+        width = max(1, (hi - lo) // ARRIVAL_SLICES) if lo is not None else 1
+        cut = F.least(F.floor((came - F.lit(lo or 0)) / F.lit(width)), F.lit(ARRIVAL_SLICES - 1))
+        return events.withColumn("_slice", F.coalesce(cut, F.lit(0)).cast("int"))
 
-    replay_slices(spark, sliced, base)
-    return ntz_times(_metrics(spark, base)).drop("unique_viewers", "last_ingest_ts").select(
-        "window_start", "window_end", "room_id", "events", "gifts", "coins", "comments")
+    dropped = replay_slices(spark, sliced, base, watermark=ARRIVAL_WATERMARK)
+    return ntz_times(_metrics(spark, base)).select(
+        "window_start", "window_end", "room_id", "events", "gifts", "coins", "comments", F.lit(dropped).cast("long").alias("dropped"))
 
 
 def multi_load_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R10 over many loads: the detail arrives in three loads of which the second is first sent
-    with rows that do not belong to it and then sent again, with a compaction in between, after
-    a generation of other rows was replaced by a full reload."""
+    """R10 and K5 over many loads: the detail arrives in three loads, of which the second is sent
+    again with only a part of its rows and then as a whole; sums and exact users are merged from the states."""
     rows = serving_for(spark, sf_dir).detail()
-    s = serving.Serving(spark, work_dir(spark))
     part = F.pmod(F.xxhash64("room_id", "user_id"), F.lit(3))
-    serving.append(s, rows.where(part == 2), 0)
-    serving.reload(s, rows.where(part == 0), 0)
-    serving.append(s, rows, 1)                           # wrong: everything
-    serving.append(s, rows.where(part == 1), 1)          # sent again
-    s.compact_rollup(10)
+    s = serving.refresh(spark, rows.where(part == 0), work_dir(spark))
+    serving.append(s, rows.where(part == 1), 1)
+    serving.append(s, rows.where((part == 1) & (F.col("coins") > 0)), 1)
+    serving.append(s, rows.where(part == 1), 1)
     serving.append(s, rows.where(part == 2), 2)
-    s.compact_rollup(2)
-    exact = (s.detail().groupBy("event_date", "room_id")
-             .agg(F.countDistinct("user_id").alias("users")))
     merged = stream_rollup.merged(s.rollup()).withColumnRenamed("users", "_estimate")
-    return _with_check(merged.join(exact, ["event_date", "room_id"], "left"))
+    return _with_check(merged.join(serving.exact_users(s, "event_date", "room_id"), ["event_date", "room_id"]))
 
 
 def _with_check(df: DataFrame) -> DataFrame:
@@ -153,15 +180,18 @@ def _with_check(df: DataFrame) -> DataFrame:
     return df.withColumn("estimate_ok", sketches.within_tolerance("_estimate", "users")).drop("_estimate")
 
 
-def _exact_users(s: serving.Serving, found: DataFrame, *keys: str) -> DataFrame:
-    """A serving query's rows with exact users beside its estimate's flag."""
-    exact = s.detail().groupBy(*keys).agg(F.countDistinct("user_id").alias("users")).select(
-        *[F.col(k).alias(f"_{k}") for k in keys], "users")
+def _exact_users(found: DataFrame, exact: DataFrame, *keys: str) -> DataFrame:
+    """A serving query's rows with the exact users of the bitmaps, and the flag of its estimate."""
+    exact = exact.select(*[F.col(k).alias(f"_{k}") for k in keys], "users")
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     return _with_check(found.withColumnRenamed("users", "_estimate").join(exact, same)
                        .drop(*[f"_{k}" for k in keys]))
 
 
+def _users_by(*keys: str):
+    return lambda s: serving.exact_users(s, *keys)
+
+
 def incremental_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = stream_replay(spark, sf_dir)
     exact = (warehouse.staging(read_lake(spark, f"{base}/lake")).where("room_id IS NOT NULL")
@@ -228,11 +258,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_report": dq_report,
     "dq_report_broken": lambda spark, sf: dq_report(spark, sf, broken=True),
     "orphan_rows": orphan_rows,
-    "olap_detail": _serve(lambda s: s.detail()),
+    "olap_detail": _serve(lambda s: s.detail().select(*serving.DETAIL_COLUMNS, "ym")),
     "olap_revenue_by_tier": _serve(serving.revenue_by_tier),
-    "olap_top_rooms": _serve(lambda s: _exact_users(s, serving.top_rooms(s), "room_id")),
-    "olap_country": _serve(lambda s: _exact_users(s, serving.country_breakdown(s), "country")),
-    "room_daily_rollup": _serve(lambda s: _exact_users(s, serving.daily_rollup(s), "event_date", "room_id")),
+    "olap_top_rooms": _serve(lambda s: _exact_users(serving.top_rooms(s), _users_by("room_id")(s), "room_id")),
+    "olap_country": _serve(lambda s: _exact_users(serving.country_breakdown(s), serving.country_exact(s), "country")),
+    "olap_country_exact": _serve(serving.country_exact),
+    "room_daily_rollup": _serve(lambda s: _exact_users(
+        serving.daily_rollup(s), _users_by("event_date", "room_id")(s), "event_date", "room_id")),
     "rollup_multi_load": multi_load_rollup,
     "olap_running_total": _serve(serving.running_total),
     "olap_running_total_first10": _serve(lambda s: serving.running_total(s, 10)),
@@ -246,7 +278,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_room_windows": checked_windows,
     "realtime_latest": lambda spark, sf: checked_windows(spark, sf, reports.realtime_latest),
     "stream_incremental_rollup": incremental_rollup,
-    "stream_late_drop": late_drop,
+    "stream_late_drop": arrival_windows,
+    "stream_resume": resumed_windows,
+    "viewers_by_hour": hourly_viewers,
     "lake_fact": lake_fact,
     "json_roundtrip": json_roundtrip,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    IntegerType, LongType, StringType, StructField, StructType, TimestampType,
+    BinaryType, DateType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 # The event contract. Field names, order and types of one decoded event.
@@ -31,6 +31,8 @@ METRICS_SCHEMA = StructType([
     StructField("coins", LongType()),
     StructField("comments", LongType()),
     StructField("last_ingest_ts", TimestampType()),
+    StructField("viewers_sketch", BinaryType()),  # mergeable: viewers of any span of windows
+    StructField("day", DateType()),               # of the window's start; the sink's partitions
 ])
 
 # Event types that have their own measure column in the fact.
@@ -49,7 +51,9 @@ MODELS = [STAGING, *DIMENSIONS, FACT]
 
 # Serving layer tables.
 OLAP_DETAIL = "olap_detail"
-ROOM_DAILY = "agg_room_daily"
+ROOM_DAILY = "agg_room_daily"        # sums and a user sketch per (day, room)
+ROOM_USERS = "agg_room_users"        # user bitmaps per (day, room)
+COUNTRY_USERS = "agg_country_users"  # coins and user bitmaps per (month, country)
 
 # Stream defaults: window, watermark, trigger cadence, files per trigger.
 WINDOW = "30 seconds"
@@ -62,9 +66,6 @@ TOPIC = "live_events"
 # from different loads and batches can be unioned (HLL, 2^12 buckets, ~1.6 % error).
 HLL_LG_K = 12
 HLL_RSE = 1.04 / (2 ** HLL_LG_K) ** 0.5
-# Relative error of the streaming viewer estimate (Spark's default).
-VIEWERS_RSD = 0.05
-# The late-data replay: arrival lags are stretched by this factor (the events are minutes apart),
-# and arrivals cut into so many slices of equal time.
-LATE_STRETCH = 3600
-LATE_SLICES = 6
+# The replay in arrival order: slices of equal arrival time, and a watermark below the lags.
+ARRIVAL_SLICES = 6
+ARRIVAL_WATERMARK = "0 seconds"

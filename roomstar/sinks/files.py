@@ -1,4 +1,4 @@
-"""File sinks: month-partitioned sorted layout, folder removal."""
+"""File sinks: month-partitioned sorted layout, commit markers, folder removal."""
 
 from __future__ import annotations
 
@@ -47,7 +47,18 @@ def write_partitioned_sorted(df: DataFrame, path: str, partition_cols: str | lis
     w.partitionBy(*parts).parquet(path)
 
 
+def _on_file_system(spark, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def delete(spark, path: str) -> None:
     """Remove a folder on whatever file system holds it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _on_file_system(spark, path)
+    files.delete(target, True)
+
+
+def committed(spark, path: str) -> bool:
+    """Whether a write to a folder has committed (Spark's marker file is there)."""
+    files, target = _on_file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(target)

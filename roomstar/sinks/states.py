@@ -1,8 +1,13 @@
-"""Rollup states of a load log: partial states per load, compaction, and the merged read.
+"""Mergeable states, written load by load.
 
-``<root>/agg_room_daily/<attempt folder>/ym=YYYYMM`` holds the states of one attempt of a load;
-``<root>/agg_room_daily/compacted=N/ym=YYYYMM`` one row per (ym, day, room) merged from all loads
-that compaction N covers. Compaction merges states (sums, sketch union), never the detail.
+``<root>/<table>/writer=W/load_id=N/ym=YYYYMM`` holds what one load adds to a table. A load is one
+folder, written as a whole by Spark's commit protocol: its files appear when the job commits, a
+failed job leaves none, and writing the load again replaces all of it, whatever months either has.
+A load without rows is a folder with the commit marker alone. A write touches its own folder
+only, so what it costs does not depend on the loads before it, and several writers (each with
+its own name) need not know of each other. While a load is replaced, readers that list it then miss it.
+
+Readers open a table as one partitioned dataset and merge by grouping.
 """
 
 from __future__ import annotations
@@ -14,40 +19,43 @@ from pyspark.sql.types import (
 )
 
 from roomstar.operators import sketches
-from roomstar.schema import ROOM_DAILY
-from roomstar.sinks.loads import LoadLog
+from roomstar.schema import COUNTRY_USERS, ROOM_DAILY, ROOM_USERS
+from roomstar.sources.lake import read_parquet_dir
 
 KEYS = ["ym", "event_date", "room_id"]
-SCHEMA = StructType([
-    StructField("event_date", DateType()), StructField("room_id", StringType()),
-    StructField("coins", LongType()), StructField("gifts", LongType()),
-    StructField("comments", LongType()), StructField("users_sketch", BinaryType()),
-    StructField("ym", IntegerType()),
-])
+_ROOM_DAY = [StructField("event_date", DateType()), StructField("room_id", StringType())]
+_MONTH = [StructField("ym", IntegerType())]
+# Columns of the state tables; ``ym`` is a partition column.
+SCHEMAS = {
+    ROOM_DAILY: StructType([*_ROOM_DAY, StructField("coins", LongType()), StructField("gifts", LongType()),
+                            StructField("comments", LongType()), StructField("users_sketch", BinaryType()), *_MONTH]),
+    ROOM_USERS: StructType([*_ROOM_DAY, StructField("bucket", LongType()), StructField("users", BinaryType()), *_MONTH]),
+    COUNTRY_USERS: StructType([StructField("country", StringType()), StructField("bucket", LongType()),
+                               StructField("coins", LongType()), StructField("users", BinaryType()), *_MONTH]),
+}
+SCHEMA = SCHEMAS[ROOM_DAILY]
+# Folder levels above a table's own partitions.
+_LEVELS = [StructField("writer", StringType()), StructField("load_id", LongType())]
+
+
+def load_path(root: str, table: str, writer: str, load_id: int) -> str:
+    return f"{root.rstrip('/')}/{table}/writer={writer}/load_id={load_id}"
 
 
-def write(log: LoadLog, folder: str, states: DataFrame) -> None:
-    """The states of one load's attempt; visible once the log names the folder."""
-    (states.select(*SCHEMA.names).write.mode("error").partitionBy("ym")
-           .parquet(f"{log.root}/{ROOM_DAILY}/{folder}"))
+def write_load(root: str, writer: str, load_id: int, states: DataFrame, table: str = ROOM_DAILY) -> None:
+    """Write the states of one load, in place of an earlier attempt of it."""
+    (states.select(*SCHEMAS[table].names).write.mode("overwrite").partitionBy("ym")
+           .parquet(load_path(root, table, writer, load_id)))
 
 
-def write_load(spark: SparkSession, root: str, writer: str, load_id: int, states: DataFrame) -> None:
-    """Write and commit the states of one load."""
-    log = LoadLog(spark, root)
-    folder = log.attempt(writer, load_id)
-    write(log, folder, states)
-    log.append("load", folder, writer, load_id)
+def read_table(spark: SparkSession, root: str, table: str, schema: StructType) -> DataFrame:
+    """All loads of a table, with the columns of ``schema`` (none written yet: no rows)."""
+    everything = read_parquet_dir(spark, f"{root.rstrip('/')}/{table}", StructType([*schema.fields, *_LEVELS]), required=False)
+    return everything.select(*schema.names)
 
 
-def read(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
-    """All committed states: the newest compaction and the loads it does not cover (of these
-    only ids up to ``upto``, if given)."""
-    log = LoadLog(spark, root)
-    now = log.state()
-    live = [f for (_, i), f in now.loads.items() if upto is None or i <= upto]
-    out = log.read(ROOM_DAILY, SCHEMA, live)
-    return out.unionByName(log.read(ROOM_DAILY, SCHEMA, [now.compacted])) if now.compacted else out
+def read(spark: SparkSession, root: str, table: str = ROOM_DAILY) -> DataFrame:
+    return read_table(spark, root, table, SCHEMAS[table])
 
 
 def merge(states: DataFrame, *keys: str) -> DataFrame:
@@ -57,27 +65,7 @@ def merge(states: DataFrame, *keys: str) -> DataFrame:
                        sketches.merge("users_sketch").alias("users_sketch")))
 
 
-def compact(spark: SparkSession, root: str, upto: int, keep_folders: bool = False) -> int:
-    """Fold the committed loads with id <= ``upto`` into one folder; returns its log entry.
-
-    Only loads that exist are covered: a later load, whatever ``upto`` was, stays visible. What
-    the compaction before this one covers is deleted. ``keep_folders`` keeps the covered loads'
-    folder names, for a log whose other tables still hold them.
-    """
-    log = LoadLog(spark, root)
-    now = log.state()
-    taken = [(w, i, f) for (w, i), f in now.loads.items() if i <= upto]
-    covered = [*now.covered_folders, *taken]
-    if not keep_folders:
-        newest: dict[str, int] = {}
-        for w, i, _ in covered:
-            newest[w] = max(i, newest.get(w, i))
-        covered = [(w, i, None) for w, i in newest.items()]
-    seq = now.seq + 1
-    folder = f"compacted={seq}"
-    (merge(read(spark, root, upto), *KEYS).write.mode("overwrite").partitionBy("ym")
-        .parquet(f"{log.root}/{ROOM_DAILY}/{folder}"))
-    log.append("compaction", folder, covered=covered)
-    if now.compacted:
-        log.forget(ROOM_DAILY, now)
-    return seq
+def fold(spark: SparkSession, root: str, to: str) -> None:
+    """All loads' (day, room) states as one row each, as load 0 of a root of its own: what a writer
+    with very many small loads is replaced by. Readers switch by opening ``to``; ``root`` is left as it is."""
+    write_load(to, "folded", 0, merge(read(spark, root), *KEYS))

@@ -10,9 +10,9 @@ passed by the end of the slice before are dropped.
 
 Slices are cut at approximate quantiles, so a burst that holds a third of all events is spread
 over many slices (only events sharing one timestamp stay together). The k-1 cut points are the
-only values that reach the driver. Sliced rows are staged once, and every slice written is
-recorded in a log: a replay that is run again after a failure, or repeated, neither cuts nor
-writes a slice twice.
+only values that reach the driver. Sliced rows are staged once, and a slice whose write has
+committed is not written again: a replay that is run again after a failure, or repeated, neither
+cuts nor writes a slice twice.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from roomstar.schema import WATERMARK, WINDOW
 from roomstar.sinks.events import write_ndjson
-from roomstar.sinks.loads import LoadLog
+from roomstar.sinks.files import committed
 from roomstar.sources.stream import decode, file_stream
 from roomstar.streaming import job, rollup
 
@@ -63,21 +63,20 @@ def replay(events: DataFrame, base: str, rows_per_batch: int | None = None) -> i
     return replay_slices(spark, lambda: with_slices(events, slice_count(events.count(), per)), base)
 
 
-def replay_slices(spark, sliced, base: str, window: str = WINDOW, watermark: str = WATERMARK) -> int:
-    """Run the queries over ``sliced()`` (events with ``_slice``), one slice after another."""
-    log = LoadLog(spark, base)
+def replay_slices(spark, sliced, base: str, window: str = WINDOW, watermark: str = WATERMARK,
+                  upto: int | None = None) -> int:
+    """Run the queries over ``sliced()`` (events with ``_slice``), one slice after another; only
+    slices below ``upto`` if given. What an earlier call has consumed is not read again."""
     staged = f"{base}/_slices"
-    if ("staged", 0) not in log.state().loads:
+    if not committed(spark, staged):
         sliced().write.mode("overwrite").partitionBy("_slice").parquet(staged)
-        log.append("load", "_slices", "staged", 0)
     part = spark.read.parquet(staged)
-    numbers = sorted(r["_slice"] for r in part.select("_slice").distinct().collect())
-    written = {i for w, i in log.state().loads if w == "slice"}
+    numbers = sorted(r["_slice"] for r in part.select("_slice").distinct().collect() if upto is None or r["_slice"] < upto)
     dropped = 0
     for i in numbers:
-        if i not in written:
-            write_ndjson(part.where(F.col("_slice") == i).drop("_slice"), f"{base}/in/slice={i}", "overwrite")
-            log.append("load", f"in/slice={i}", "slice", i)
+        folder = f"{base}/in/slice={i}"
+        if not committed(spark, folder):
+            write_ndjson(part.where(F.col("_slice") == i).drop("_slice"), folder, "overwrite")
         src = decode(file_stream(spark, f"{base}/in", files_per_trigger=None, nested=True))
         dropped += job.run(
             src, f"{base}/lake", f"{base}/room_metrics", f"{base}/_checkpoints", window, watermark,

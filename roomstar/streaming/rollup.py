@@ -1,9 +1,9 @@
 """Rollup maintained with every micro-batch (the insert-trigger pattern).
 
 Each micro-batch's events become partial states per (day, room): sums plus an HLL sketch
-of users, committed as load <batch id> of the query. A batch replayed after a failure replaces
-its own states, or changes nothing if they are compacted already; a query with a new checkpoint
-has a new id, so its batches stand beside the old ones.
+of users, written as load <batch id> of the query. A batch replayed after a failure replaces
+its own folder and touches no other; a query with a new checkpoint has a new id, so its batches
+stand beside the old ones.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from roomstar.operators import sketches
 from roomstar.plans.warehouse import staging
 from roomstar.schema import COMMENT, GIFT, TRIGGER
 from roomstar.sinks import states as state_store
-from roomstar.sinks.loads import CoveredLoad
 
 
 def event_states(events: DataFrame) -> DataFrame:
@@ -33,10 +32,7 @@ def event_states(events: DataFrame) -> DataFrame:
 
 
 def write_batch(events: DataFrame, batch_id: int, out: str, writer: str) -> None:
-    try:
-        state_store.write_load(events.sparkSession, out, writer, batch_id, event_states(events))
-    except CoveredLoad:  # the same rows, replayed after a compaction took them
-        pass
+    state_store.write_load(out, writer, batch_id, event_states(events))
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:

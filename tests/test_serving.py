@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from roomstar.functions import readable_size, rank_label, thousands
 from roomstar.plans import serving
-from roomstar.sinks.loads import CoveredLoad
 from roomstar.queries import ORDERS_WINDOW, orders_layout, serving_for
 
 
@@ -34,7 +33,7 @@ def test_detail_files_are_sorted_ranges(spark):
 def test_rollup_matches_detail(spark):
     row = serving.rollup_reconcile(serving_for(spark, SF001)).first()
     assert (row["rollup_only"], row["detail_only"], row["sum_mismatches"],
-            row["users_out_of_tolerance"]) == (0, 0, 0, 0)
+            row["user_mismatches"]) == (0, 0, 0, 0)
 
 
 def test_append_load_and_replay(spark, scratch):
@@ -76,31 +75,20 @@ def test_formatting(spark):
     assert (r["s"], r["l"], r["t"]) == ("55.80 KiB", "03 room_0007", "57,139")
 
 
-def test_rollup_compaction_is_invisible_until_committed(spark, scratch):
-    s0 = serving_for(spark, SF001)
-    detail = s0.detail()
-    want = sorted(map(tuple, serving.daily_rollup(s0, None).collect()))
-    s = serving.Serving(spark, scratch)
-    parts = [detail.where(F.col("coins") >= 100), detail.where((F.col("coins") < 100) & (F.col("coins") > 0)),
-             detail.where(F.col("coins") == 0)]
-    for i, p in enumerate(parts, 1):
-        serving.append(s, p, i)
-    first = s.compact_rollup(2)
-    assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
-    # a covered load cannot be sent again; a second compaction folds in load 3
-    with pytest.raises(CoveredLoad):
-        serving.append(s, parts[1], 2)
-    assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
-    assert s.compact_rollup(3) > first
-    assert s.rollup().count() == len(want)
-    assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
-    # a folder that the log does not name is not read
-    root = s.log().root
-    done = s.log().state().compacted
-    spark.read.parquet(f"{root}/agg_room_daily/{done}").write.parquet(f"{root}/agg_room_daily/compacted=99")
-    s.invalidate()
-    assert sorted(map(tuple, serving.daily_rollup(s, None).collect())) == want
-    assert s.detail().count() == detail.count()
+def test_exact_users_come_from_the_states_alone(spark):
+    s = serving_for(spark, SF001)
+    for keys in (["event_date", "room_id"], ["room_id"], ["event_date"]):
+        found = serving.exact_users(s, *keys)
+        assert all("/agg_room_users/" in f for f in found.inputFiles())
+        want = s.detail().groupBy(*keys).agg(F.countDistinct("user_id").alias("users"))
+        assert found.exceptAll(want).count() == 0 and found.count() == want.count()
+    assert all("/agg_country_users/" in f for f in serving.country_exact(s).inputFiles())
+
+
+def test_partition_report_reads_no_detail_column(spark):
+    plan = serving.partition_bytes(serving_for(spark, SF001))._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert len(scans) == 2 and any("ReadSchema: struct<>" in x for x in scans) and any("length" in x and "content" not in x for x in scans)
 
 
 def test_bloom_filter_written_for_high_cardinality_users(spark, scratch):

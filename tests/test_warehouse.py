@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF001, SF01
 from roomstar.operators.keys import dense_keys
 from roomstar.plans import reports, warehouse
+from roomstar.plans.dimensions import dimensions
 from roomstar.queries import warehouse_for
 from roomstar.schema import EVENT_SCHEMA
 
@@ -69,7 +70,7 @@ def test_null_natural_key_sorts_last(spark):
 def test_dim_date_weekend(spark):
     stg = warehouse.staging(_ev(spark, [("1", "join", "2024-01-07T10:00:00", "r", "u", "SG", None, 0),
                                         ("2", "join", "2024-01-08T10:00:00", "r", "u", "SG", None, 0)]))
-    got = {r["date_key"]: (r["day_of_week"], r["is_weekend"]) for r in warehouse.dim_date(stg).collect()}
+    got = {r["date_key"]: (r["day_of_week"], r["is_weekend"]) for r in dimensions(stg)[0]["dim_date"].collect()}
     assert got == {20240107: (0, True), 20240108: (1, False)}
 
 
@@ -87,10 +88,44 @@ def test_user_country_is_first_known(spark):
         ("2", "join", "2024-01-01T00:00:02", "r", "u1", "VN", None, 0),
         ("3", "join", "2024-01-01T00:00:03", "r", "u1", "SG", None, 0),
         ("4", "join", "2024-01-01T00:00:01", "r", "u2", None, None, 0)]))
-    got = {r["user_id"]: r["country"] for r in warehouse.dim_user(stg).collect()}
+    got = {r["user_id"]: r["country"] for r in dimensions(stg)[0]["dim_user"].collect()}
     assert got == {"u1": "VN", "u2": None}
 
 
+def test_countries_that_tie_go_to_the_smaller_event_id(spark):
+    at, later = "2024-01-01T00:00:01", "2024-01-01T00:00:02"
+    stg = warehouse.staging(_ev(spark, [
+        ("7", "join", at, "r", "u1", "AA", None, 0), ("3", "join", at, "r", "u1", "ZZ", None, 0),
+        ("1", "join", later, "r", "u1", "AA", None, 0), ("5", "join", at, "r", None, "MY", None, 0),
+        ("4", "join", at, "r", None, "PH", None, 0), ("2", "join", at, "r", "u2", None, None, 0),
+        ("6", "join", later, "r", "u2", "TH", None, 0), ("8", "join", at, "r", "u3", None, None, 0)]))
+    dims, rows = dimensions(stg)
+    got = {r["user_id"]: (r["user_key"], r["country"], r["first_seen_ts"].second) for r in dims["dim_user"].collect()}
+    assert got == {"u1": (1, "ZZ", 1), "u2": (2, "TH", 1), "u3": (3, None, 1), None: (4, "PH", 1)}
+    assert rows == {"dim_date": 1, "dim_room": 1, "dim_user": 4, "dim_gift": 1}
+
+
+def test_dimensions_of_no_events(spark):
+    dims, rows = dimensions(warehouse.staging(_ev(spark, [])))
+    assert set(rows.values()) == {0} and {n: d.count() for n, d in dims.items()} == rows
+
+
+def test_dimensions_read_staging_once(spark, scratch):
+    from roomstar.plans.dimensions import natural_keys
+    wh = warehouse_for(spark, SF001)
+    plan = natural_keys(wh.table("stg_events"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Expand") == 1
+    assert "HashAggregate" in plan.split("Expand")[0].splitlines()[-2]  # over the events: no sort
+
+
+def test_dense_keys_within_tables(spark):
+    df = spark.range(3000).selectExpr("concat('t', id % 3) AS t", "if(id < 3, null, sha1(string(id))) AS k")
+    keyed = dense_keys(df, "k", "key", num_partitions=8, within="t")
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("t").orderBy(F.col("k").asc_nulls_last())))
+    both = keyed.join(want, (keyed.t == want.t) & keyed.k.eqNullSafe(want.k))
+    assert both.count() == 3000 and both.where("key != rn").count() == 0
+
+
 def test_null_room_dropped_from_fact(spark, scratch):
     raw = _ev(spark, [("1", "gift", "2024-01-01T00:00:01", "r1", "u1", "SG", "rose", 1),
                       ("2", "join", "2024-01-01T00:00:02", None, "u1", "SG", None, 0),
