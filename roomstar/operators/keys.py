@@ -6,8 +6,8 @@ a row's key is (rows in all earlier partitions) + (its position in its partition
 tables can be numbered in one go: their rows are told apart by a column ``within``, which leads
 the sort, and each table's keys start at 1.
 
-The ranged frame is checkpointed first: range bounds come from a sample, so a recompute
-(e.g. after a lost executor) must not be allowed to move rows between partitions.
+The ranged rows are written first, as a table in the shared folder: range bounds come from a
+sample, so a recompute (e.g. after a lost executor) must not be allowed to move rows between partitions.
 """
 
 from __future__ import annotations
@@ -15,27 +15,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomstar.session import checkpoint_dir
+from roomstar.session import work_dir
 
 
 def dense_keys(df: DataFrame, order_by: str, key: str, num_partitions: int | None = None,
-               within: str | None = None) -> DataFrame:
+               within: str | None = None, path: str | None = None) -> DataFrame:
     """Add ``key`` (bigint, 1..N) numbering the rows of df by ``order_by`` ascending, nulls last,
     for each value of ``within`` apart if given (never null). ``order_by`` must be unique in df (it
-    is a grouped natural key), or unique for each value of ``within``."""
+    is a grouped natural key), or unique for each value of ``within``. The ranged rows are kept at
+    ``path`` (a new folder of the work folder if not given)."""
     spark = df.sparkSession
-    checkpoint_dir(spark)
+    path = path or work_dir(spark)
     table = F.col(within) if within else F.lit(0)
     order = [*([F.col(within)] if within else []), F.col(order_by).asc_nulls_last()]
     # Without an explicit count AQE may merge adjacent ranges; merged ranges stay contiguous
     # and in order, which is all the numbering needs.
     ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
-    ranged = (ranged.sortWithinPartitions(*order)
-                    .withColumn("_rid", F.monotonically_increasing_id())
-                    .checkpoint())
+    (ranged.sortWithinPartitions(*order).withColumn("_rid", F.monotonically_increasing_id())
+           .write.mode("overwrite").parquet(path))
+    ranged = spark.read.parquet(path)
     # Ids rise with the partition and the position in it, so a table's first id in a partition
     # names both. One row for each partition and table reaches the driver: bounded by their
-    # numbers, not by the data. This count and the keys below read the checkpointed rows.
+    # numbers, not by the data. This count and the keys below read the written rows.
     part = F.shiftright("_rid", 33)
     counts = ranged.groupBy(part.alias("_part"), table.alias("_table")).agg(
         F.count("*").alias("_n"), F.min("_rid").alias("_first")).collect()

@@ -4,7 +4,7 @@ Staging is grouped once by four grouping sets (date; room; user and country; gif
 aggregates of fixed width, so both sides of the one shuffle are hash aggregations and a hot room
 or user is one row for each map task. What is left (a row for each natural key, a few for a
 user with several countries) is folded to one row a key and numbered for all dimensions in one
-sort (``dense_keys`` with ``within``); its checkpoint is what every dimension is selected from.
+sort (``dense_keys`` with ``within``); the table it writes is what every dimension is selected from.
 
 A user's country is that of the first event with a country. Two countries can tie at one event
 time; then the smaller event id decides, and only then are the tied users' events looked up.
@@ -71,9 +71,10 @@ def _settle_ties(stg: DataFrame, users: DataFrame, n_tied: int) -> DataFrame:
                  .withColumn("country", F.coalesce("_settled", "country")))
 
 
-def dimensions(stg: DataFrame) -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """(dimension frames by name, their row counts). All frames read one checkpoint."""
-    keyed = dense_keys(natural_keys(stg), "natural", "key", within="model")
+def dimensions(stg: DataFrame, path: str | None = None) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """(dimension frames by name, their row counts). All frames read one table of numbered natural
+    keys, kept at ``path`` (in the work folder if not given)."""
+    keyed = dense_keys(natural_keys(stg), "natural", "key", within="model", path=path)
     keyed = keyed.withColumns({"country": F.col("_first.country"),
                                "_tied": F.coalesce(F.col("_first.country") != F.col("_other.country"), F.lit(False))})
     counted = {r["model"]: r for r in keyed.groupBy("model").agg(

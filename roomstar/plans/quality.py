@@ -6,11 +6,11 @@ counts violations; 0 passes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roomstar.functions import any_null
-from roomstar.operators.joins import maybe_broadcast, one_row
+from roomstar.operators.joins import maybe_broadcast
 
 FACT_KEYS = ["date_key", "room_key", "user_key", "gift_key"]
 _DIM_OF = {"date_key": "dim_date", "room_key": "dim_room", "user_key": "dim_user",
@@ -29,13 +29,29 @@ CHECKS = [
 ]
 
 
-def duplicate_ids(stg: DataFrame, id_col: str = "event_id") -> DataFrame:
-    """One row ``_dups`` = COUNT(*) - COUNT(DISTINCT id), and ``_rows`` = COUNT(*): one read and
-    one shuffle of the distinct ids. Null ids are violations (COUNT(DISTINCT) skips them)."""
-    per_id = stg.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
-    extra = F.when(F.col(id_col).isNull(), F.col("_n")).otherwise(F.col("_n") - 1)
-    return per_id.agg(F.coalesce(F.sum(extra), F.lit(0)).alias("_dups"),
-                      F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"))
+def digest(c: Column) -> Column:
+    """64 bits of an id, for counting before the ids themselves are looked at."""
+    return F.xxhash64(c)
+
+
+def duplicate_ids(stg: DataFrame, id_col: str = "event_id") -> tuple[int, int]:
+    """(COUNT(*) - COUNT(DISTINCT id), COUNT(*)). Null ids are violations (COUNT(DISTINCT) skips
+    them).
+
+    Digests of 8 bytes are counted first, in a hash aggregation that shuffles no id. Only ids whose
+    digest occurs twice are fetched and counted themselves, so a collision of digests costs a
+    lookup and never changes the result; without such digests staging is not read again."""
+    ids = stg.select(F.col(id_col).alias("_id"), digest(F.col(id_col)).alias("_digest"), F.col(id_col).isNull().alias("_none"))
+    per_digest = ids.groupBy("_digest", "_none").agg(F.count(F.lit(1)).alias("_n"))
+    twice = ~F.col("_none") & (F.col("_n") > 1)
+    seen = per_digest.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count_if(twice).alias("suspects"),
+                          F.coalesce(F.sum(F.when(F.col("_none"), F.col("_n"))), F.lit(0)).alias("nulls")).first()
+    extra = 0
+    if seen["suspects"]:
+        suspects = maybe_broadcast(per_digest.where(twice).select("_digest"), seen["suspects"])
+        per_id = ids.where(~F.col("_none")).join(suspects, "_digest", "left_semi").groupBy("_id").agg(F.count(F.lit(1)).alias("_n"))
+        extra = per_id.agg(F.sum(F.col("_n") - 1).alias("extra")).first()["extra"]
+    return seen["nulls"] + extra, seen["rows"]
 
 
 def with_missing_keys(fact: DataFrame, dims: dict[str, DataFrame],
@@ -64,10 +80,10 @@ def violations(stg: DataFrame, fact: DataFrame, dims: dict[str, DataFrame],
         tally(F.col("coins") < 0).alias("negative_coins"),
         *[tally(F.array_contains("_missing", key)).alias(f"orphan_{key}s") for key in _DIM_OF],
         F.coalesce(F.sum("event_count"), F.lit(0)).alias("_events"))
-    both = one_row(fact_pass, duplicate_ids(stg)).select(
-        *[c for c in fact_pass.columns if c != "_events"],
-        F.col("_dups").cast("long").alias("duplicate_event_ids"),
-        F.abs(F.col("_events") - F.col("_rows")).cast("long").alias("staging_reconciliation"))
+    dups, events = duplicate_ids(stg)
+    both = fact_pass.select(
+        *[c for c in fact_pass.columns if c != "_events"], F.lit(dups).cast("long").alias("duplicate_event_ids"),
+        F.abs(F.col("_events") - F.lit(events)).cast("long").alias("staging_reconciliation"))
     return both.unpivot([], both.columns, "check_name", "violations")
 
 

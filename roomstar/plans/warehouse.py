@@ -140,16 +140,14 @@ def build(spark: SparkSession, raw: DataFrame, base: str, gate: bool = True) ->
     cap = _rows_per_file(spark, raw.count())  # row count from Parquet footers
     _write(staging(raw), f"{path}/{STAGING}", cap)
     stg = spark.read.parquet(f"{path}/{STAGING}")
-    dims, dim_rows = dimensions(stg)
+    dims, dim_rows = dimensions(stg, f"{path}/_natural_keys")
     side_by_side(spark, [lambda name=name, dim=dim: _write(dim, f"{path}/{name}") for name, dim in dims.items()])
     wh = Warehouse(spark, path)
     _write(fact(stg, wh.dims(), dim_rows), f"{path}/{FACT}", cap)
-    counts = _count_models(spark, path)
-    _write(counts, f"{path}/_model_row_counts")
+    side_by_side(spark, [
+        lambda: _write(_count_models(spark, path), f"{path}/_model_row_counts"),
+        lambda: _write(quality_report(wh.table(STAGING), wh.table(FACT), wh.dims(), dim_rows), f"{path}/_quality")])
     wh.rows = {r["model"]: r["rows"] for r in wh.row_counts().collect()}
-
-    report = quality_report(wh.table(STAGING), wh.table(FACT), wh.dims(), wh.rows)
-    _write(report, f"{path}/_quality")
     failed = wh.table("_quality").where(F.col("status") == "FAIL").count()
     if gate and failed:
         raise QualityGateError(f"{failed} data-quality check(s) failed; build {build_id} not published")

@@ -39,6 +39,28 @@ def test_duplicate_null_ids_count(spark):
     assert rep["duplicate_event_ids"] == 3
 
 
+def test_colliding_digests_do_not_count_as_duplicates(spark, monkeypatch):
+    rows = [(f"e{i % 90}",) for i in range(100)] + [(None,), (None,)]
+    stg = spark.createDataFrame(rows, "event_id string")
+    assert quality.duplicate_ids(stg) == (12, 102)
+    monkeypatch.setattr(quality, "digest", lambda c: F.crc32(c) % 7)  # every digest is shared by many ids
+    assert quality.duplicate_ids(stg) == (12, 102)
+    assert quality.duplicate_ids(stg.distinct().where("event_id IS NOT NULL")) == (0, 90)
+    assert quality.duplicate_ids(stg.where("false")) == (0, 0)
+
+
+def test_duplicate_check_shuffles_no_id(spark, monkeypatch):
+    stg = warehouse_for(spark, SF001).table("stg_events")
+    plans = []
+    first = type(stg).first
+    monkeypatch.setattr(type(stg), "first", lambda df: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or first(df))
+    assert quality.duplicate_ids(stg) == (0, stg.count())
+    assert len(plans) == 1  # ids are not looked at again
+    grouped = [line for line in plans[0].splitlines() if "Exchange hashpartitioning" in line]
+    assert grouped and all("event_id" not in line and "_id#" not in line for line in grouped)
+
+
 def test_orphans_read_each_table_once(spark):
     wh = warehouse_for(spark, SF001)
     df = quality.orphan_rows(wh.table("fact_live_engagement"), wh.dims(), wh.rows)
