@@ -74,7 +74,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
-        decontaminate.contaminated().alias("contaminated"), "spans")
+        decontaminate.contaminated().alias("contaminated"))
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

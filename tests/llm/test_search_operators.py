@@ -22,7 +22,7 @@ def plain(df):
     return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=key)
 
 
-@pytest.mark.parametrize("name", ["op11_hard_negatives", "op12_license_scan", "op13_lexical_search"])
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "benchmark", "embeddings"):
