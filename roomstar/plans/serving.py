@@ -27,7 +27,7 @@ from roomstar.functions import month_bounds, readable_size, year_month
 from roomstar.operators import bitmaps, sketches
 from roomstar.operators.joins import maybe_broadcast
 from roomstar.plans.warehouse import Warehouse, side_by_side
-from roomstar.schema import COUNTRY_USERS, FACT, OLAP_DETAIL, ROOM_DAILY, ROOM_USERS
+from roomstar.schema import COUNTRY_USERS, FACT, GIFT_TIERS, OLAP_DETAIL, ROOM_DAILY, ROOM_USERS
 from roomstar.sinks import states
 from roomstar.sinks.files import delete, files_for, write_partitioned_sorted
 
@@ -185,9 +185,11 @@ def orders_window_summary(spark: SparkSession, path: str, lo: str, hi: str) -> D
 
 
 def revenue_by_tier(s: Serving) -> DataFrame:
+    """Coins and gifts of each tier. Tiers are a closed set of labels, so the order is that of a
+    top-n over all of them: no range exchange and no sampling job for a handful of rows."""
     return (s.detail().groupBy("gift_tier")
              .agg(F.sum("coins").alias("coins"), F.sum("gifts").alias("gifts"))
-             .orderBy(F.desc("coins"), "gift_tier"))
+             .orderBy(F.desc("coins"), "gift_tier").limit(len(GIFT_TIERS) + 1))
 
 
 def top_rooms(s: Serving, n: int = 10) -> DataFrame:
@@ -227,9 +229,9 @@ def daily_rollup(s: Serving, n: int | None = 10) -> DataFrame:
 
 
 def running_total(s: Serving, n: int | None = None) -> DataFrame:
-    """Coins per (room, day) and their running sum per room in date order. Aggregated to
-    one row per room-day before the window, so a hot room is one row per day."""
-    daily = s.detail().groupBy("room_id", "event_date").agg(F.sum("coins").alias("coins"))
+    """Coins per (room, day) and their running sum per room in date order, from the rollup's
+    states: one row for each room-day and load is read, and a hot room is one row a day in the window."""
+    daily = s.rollup().groupBy("room_id", "event_date").agg(F.sum("coins").alias("coins"))
     w = (Window.partitionBy("room_id").orderBy("event_date")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = (daily.withColumn("running", F.sum("coins").over(w))
