@@ -22,6 +22,9 @@ RUNTIME_CONF = {
     # core: fewer, fuller tasks (the setting Spark's tuning guide gives for busy clusters).
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
+# Bytes of a batch that goes to a Python worker. The limit on rows alone (10,000) makes batches of
+# documents tens of megabytes large, and an executor holds several copies of one for each core.
+BATCH_CONF = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def submitted(key: str) -> bool:
@@ -66,10 +69,17 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session (e.g. one the caller built)."""
     for k, v in RUNTIME_CONF.items():
         spark.conf.set(k, v)
+    small_batches(spark)
     checkpoint_dir(spark)
     return spark
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of Arrow batches, unless the submitter has."""
+    if not submitted(BATCH_CONF[0]):
+        spark.conf.set(*BATCH_CONF)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
