@@ -23,12 +23,14 @@ def row_width(df: DataFrame) -> int:
     return 16 + sum(_WIDTH.get(f.dataType.simpleString(), 8) for f in df.schema.fields)
 
 
+def fits_broadcast(dim: DataFrame, rows: int | None) -> bool:
+    """Whether ``rows`` (a known count) times the row width is within the bound."""
+    return rows is not None and rows * row_width(dim) <= max_broadcast_bytes(dim.sparkSession)
+
+
 def maybe_broadcast(dim: DataFrame, rows: int | None) -> DataFrame:
-    """Broadcast ``dim`` if ``rows`` (a known count) times its row width is within the
-    bound; an unknown size means no hint."""
-    if rows is not None and rows * row_width(dim) <= max_broadcast_bytes(dim.sparkSession):
-        return F.broadcast(dim)
-    return dim
+    """Broadcast ``dim`` if its known size is within the bound; an unknown size means no hint."""
+    return F.broadcast(dim) if fits_broadcast(dim, rows) else dim
 
 
 def one_row(*frames: DataFrame) -> DataFrame:

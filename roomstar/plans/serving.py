@@ -25,7 +25,7 @@ from pyspark.sql.types import DateType, IntegerType, LongType, StringType, Struc
 
 from roomstar.functions import month_bounds, readable_size, year_month
 from roomstar.operators import bitmaps, sketches
-from roomstar.operators.joins import maybe_broadcast
+from roomstar.operators.joins import fits_broadcast, maybe_broadcast
 from roomstar.plans.warehouse import Warehouse, side_by_side
 from roomstar.schema import COUNTRY_USERS, FACT, GIFT_TIERS, OLAP_DETAIL, ROOM_DAILY, ROOM_USERS
 from roomstar.sinks import states
@@ -41,17 +41,27 @@ DETAIL_SCHEMA = StructType([*[StructField(c, _TYPES.get(c, StringType())) for c
 WRITER = "load"
 
 
-def detail_rows(wh: Warehouse) -> DataFrame:
-    """The fact joined to all four dimensions, as one wide row per fact row."""
-    def dim(name, *cols):
-        return maybe_broadcast(wh.table(name).select(*cols), wh.rows.get(name))
+_DIM_COLUMNS = {
+    "dim_date": ["date_key", "full_date AS event_date"], "dim_room": ["room_key", "room_id"],
+    "dim_user": ["user_key", "user_id", "country"], "dim_gift": ["gift_key", "gift_name", "gift_tier"]}
+
+
+def detail_rows(wh: Warehouse, num_files: int | None = None) -> tuple[DataFrame, bool]:
+    """The fact joined to all four dimensions, as one wide row per fact row, and whether
+    the rows are dealt into ``num_files`` ranges of DETAIL_SORT.
+
+    Surrogate keys are numbered in the order of their natural keys, so ranges of the keys are ranges
+    of the layout. The narrow fact is dealt out before the joins if all of these are broadcasts, which
+    leave rows where they are: range bounds are sampled from the fact alone, and the joins run once."""
+    dims = {name: wh.table(name).selectExpr(*cols) for name, cols in _DIM_COLUMNS.items()}
     f = wh.table(FACT).select("date_key", "room_key", "user_key", "gift_key",
                               "event_count", "joins", "comments", "gifts", "coins")
-    out = (f.join(dim("dim_date", "date_key", F.col("full_date").alias("event_date")), "date_key")
-            .join(dim("dim_room", "room_key", "room_id"), "room_key")
-            .join(dim("dim_user", "user_key", "user_id", "country"), "user_key")
-            .join(dim("dim_gift", "gift_key", "gift_name", "gift_tier"), "gift_key"))
-    return out.select(*DETAIL_COLUMNS, "user_key", year_month("event_date").alias("ym"))
+    in_ranges = num_files is not None and all(fits_broadcast(d, wh.rows.get(n)) for n, d in dims.items())
+    if in_ranges:
+        f = f.repartitionByRange(num_files, "date_key", "room_key", "user_key")
+    for name, dim in dims.items():
+        f = f.join(maybe_broadcast(dim, wh.rows.get(name)), dim.columns[0])
+    return f.select(*DETAIL_COLUMNS, "user_key", year_month("event_date").alias("ym")), in_ranges
 
 
 def room_daily_states(detail: DataFrame) -> DataFrame:
@@ -105,24 +115,25 @@ class Serving:
         return in_date_range(self.detail(), "event_date", lo, hi)
 
 
-def append(s: Serving, rows: DataFrame, load_id: int, num_files: int | None = None) -> None:
+def append(s: Serving, rows: DataFrame, load_id: int, num_files: int | None = None, in_ranges: bool = False) -> None:
     """K5 + insert trigger: add detail rows (DETAIL_SCHEMA) and the states of exactly these rows.
     A load id that is there already is replaced as a whole."""
     folder = states.load_path(s.path, OLAP_DETAIL, WRITER, load_id)
     write_partitioned_sorted(rows.select(*DETAIL_SCHEMA.names), folder, "ym", DETAIL_SORT, bloom_cols=DETAIL_BLOOM,
-                             num_files=num_files)
+                             num_files=num_files, in_ranges=in_ranges)
     written = s.spark.read.schema(DETAIL_SCHEMA).parquet(folder)
     side_by_side(s.spark, [lambda t=t, make=make: states.write_load(s.path, WRITER, load_id, make(written), t)
                            for t, make in _STATES.items()])
     s.invalidate()
 
 
-def refresh(spark: SparkSession, rows: DataFrame, base: str, load_id: int = 0, num_files: int | None = None) -> Serving:
+def refresh(spark: SparkSession, rows: DataFrame, base: str, load_id: int = 0, num_files: int | None = None,
+            in_ranges: bool = False) -> Serving:
     """A new layer that holds one load, published when it is complete."""
     layers = f"{base.rstrip('/')}/layers"
     name = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"  # names sort by time
     s = Serving(spark, f"{layers}/{name}")
-    append(s, rows, load_id, num_files)
+    append(s, rows, load_id, num_files, in_ranges)
     (spark.createDataFrame([(name,)], "layer string").coalesce(1).write.mode("overwrite").json(f"{s.path}/_published"))
     for old in _published(spark, base)[:-2]:
         delete(spark, f"{layers}/{old}")
@@ -142,7 +153,9 @@ def latest(spark: SparkSession, base: str) -> Serving:
 
 def load(wh: Warehouse, base: str, load_id: int = 0) -> Serving:
     """Full refresh of the serving layer from a published warehouse build."""
-    return refresh(wh.spark, detail_rows(wh), base, load_id, files_for(wh.spark, wh.rows.get(FACT)))
+    num_files = files_for(wh.spark, wh.rows.get(FACT))
+    rows, in_ranges = detail_rows(wh, num_files)
+    return refresh(wh.spark, rows, base, load_id, num_files, in_ranges)
 
 
 # ---------------------------------------------------------------- month pruning

@@ -23,7 +23,7 @@ def write_partitioned_sorted(df: DataFrame, path: str, partition_cols: str | lis
                              sort_cols: list[str], mode: str = "overwrite",
                              dynamic: bool = False, rows_per_file: int = ROWS_PER_FILE,
                              bloom_cols: list[str] | None = None,
-                             num_files: int | None = None) -> None:
+                             num_files: int | None = None, in_ranges: bool = False) -> None:
     """K4: Hive-style partitions, rows sorted by the sort key inside them.
 
     Range partitioning on (partitions, sort key) instead of hash on the partition value:
@@ -33,11 +33,15 @@ def write_partitioned_sorted(df: DataFrame, path: str, partition_cols: str | lis
     their order. ``dynamic`` replaces only the partitions present in ``df``. ``bloom_cols``
     get Parquet bloom filters, for equality lookups that min/max statistics cannot prune
     (a column that is not a prefix of the sort key). ``num_files`` fixes the number of
-    ranges (e.g. from ``files_for``); otherwise AQE sizes them from the shuffle.
+    ranges (e.g. from ``files_for``); otherwise AQE sizes them from the shuffle. ``in_ranges``: the
+    rows are dealt into ranges of these keys already (e.g. before joins that keep them there).
     """
     parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     keys = [*parts, *sort_cols]
-    ranged = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
+    if in_ranges:
+        ranged = df
+    else:
+        ranged = df.repartitionByRange(num_files, *keys) if num_files else df.repartitionByRange(*keys)
     w = (ranged.sortWithinPartitions(*keys)
            .write.mode(mode)
            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")

@@ -30,6 +30,31 @@ def test_detail_files_are_sorted_ranges(spark):
         assert tuple(a["hi"]) <= tuple(b["lo"])
 
 
+def test_the_fact_is_dealt_out_before_the_joins(spark, scratch):
+    from roomstar.queries import warehouse_for
+    wh = warehouse_for(spark, SF001)
+    rows, in_ranges = serving.detail_rows(wh, 4)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert in_ranges and plan.count("rangepartitioning(date_key") == 1
+    assert plan.index("BroadcastHashJoin") < plan.index("rangepartitioning")  # joins stand above the exchange
+    assert "hashpartitioning" not in plan
+    small = dict(wh.rows, dim_user=10**9)  # too large to broadcast: ranges are made after the joins
+    rows, in_ranges = serving.detail_rows(type(wh)(spark, wh.path, small), 4)
+    assert not in_ranges and "rangepartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_of_a_skewed_month_have_like_sizes(spark, scratch):
+    from roomstar.sinks.files import write_partitioned_sorted
+    days = F.when(F.col("id") % 10 < 8, F.lit("2024-02-01")).otherwise(F.concat(F.lit("2024-0"), (F.col("id") % 3 + 3).cast("string"), F.lit("-07")))
+    df = spark.range(80_000).select(days.cast("date").alias("d"), F.sha1(F.col("id").cast("string")).alias("u")) \
+        .withColumn("ym", F.year("d") * 100 + F.month("d"))
+    write_partitioned_sorted(df, f"{scratch}/t", "ym", ["d", "u"], num_files=16)
+    rows = [r["count"] for r in spark.read.parquet(f"{scratch}/t").where("ym = 202402")
+            .groupBy(F.input_file_name()).count().collect()]
+    inner = sorted(rows)[1:-1]  # the first and the last file of a month share a range with its neighbours
+    assert len(rows) >= 12 and max(rows) < 2 * 5_000 and min(inner) > 5_000 / 2
+
+
 def test_rollup_matches_detail(spark):
     row = serving.rollup_reconcile(serving_for(spark, SF001)).first()
     assert (row["rollup_only"], row["detail_only"], row["sum_mismatches"],
