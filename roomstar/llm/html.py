@@ -7,6 +7,13 @@ make chrome blocks. If the page marks its article (``article``, else ``main`` or
 like), the blocks inside are the article and the others are chrome. A page without such a mark
 leaves its other blocks open.
 
+A class or id word counts if it is the whole name, its last part (``site-footer``), or its first part
+before words for a container (``comments-area``); ``ad-hoc`` or ``related-work`` name nothing. Such a
+word is weaker than a mark: ``article`` and ``main`` are chrome only for a whole name (``comment``), and
+if all marked text of a page lies in elements that only a word makes chrome, the words around it do
+not count. Parsing takes time in proportion to the page, whatever is in it: a quote without an end is
+a character, a tag without ``>`` ends at the next ``<``, a close tag without an open one is skipped.
+
 Chrome and open blocks of a host's pages are concatenated in page order as token streams, cut only
 between pages and where an article lay, and their suffixes are sorted. Strings of ``RUN`` tokens
 that start suffixes of at least ``PAGES`` different pages are boilerplate, as are the
@@ -30,6 +37,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -62,16 +70,66 @@ CHROME_ROLES = frozenset("navigation banner contentinfo complementary search for
 MARKS = ("article", "main")
 MAIN_NAMES = re.compile(r"(?:^|\s)(?:article|post|entry|story)[-_]?(?:body|content|text)(?:\s|$)", re.I)
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|"
-                  r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# Words for a container, after the name of what it contains.
+CONTAINERS = frozenset("""area bar block box button buttons container content form inner item items left link links
+    list panel posts right section slot thread top unit widget wrap wrapper""".split())
+
+_OPEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_STOP = re.compile(r"[<>\"']")
 VERBATIM = {name: re.compile(rf"</{name}", re.I) for name in ("script", "style", "textarea", "title", "noscript", "iframe")}
-_ATTRIBUTE = re.compile(r"([a-zA-Z][-a-zA-Z0-9:]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_NAME = re.compile(r"[A-Za-z]+")
+_ATTRIBUTE = re.compile(r"([a-zA-Z][-a-zA-Z0-9:]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 ARTICLE, OPEN, CHROME = range(3)
+WORD = 3  # chrome by a class or id word alone
+
+
+class _Scanner:
+    """Markup of a page from left to right. ``find`` remembers what does not come any more, so that a
+    page full of beginnings without ends is not searched to its end for each."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.gone = page, set()
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.gone:
+            return -1
+        k = self.page.find(what, at)
+        if k < 0:
+            self.gone.add(what)
+        return k
+
+    def tag_end(self, at: int) -> tuple[int, int]:
+        """(end of a tag's attributes, where to go on) from the place after its name."""
+        while (m := _STOP.search(self.page, at)) is not None:
+            c = m[0]
+            if c == ">":
+                return m.start(), m.end()
+            if c == "<":
+                return m.start(), m.start()
+            close = self.find(c, m.end())
+            at = close + 1 if close >= 0 else m.end()
+        return len(self.page), len(self.page)
+
+    def skip(self, at: int) -> tuple[int, str]:
+        """(end, text) of what a ``<!`` or ``<?`` at a place begins: a comment, a declaration, or CDATA,
+        whose content is text."""
+        page = self.page
+        if page.startswith("<!--", at):
+            end = self.find("-->", at + 4)
+            return (end + 3 if end >= 0 else len(page)), ""
+        if page.startswith("<![CDATA[", at) and (end := self.find("]]>", at + 9)) >= 0:
+            return end + 3, page[at + 9:end]
+        end = self.find(">", at)
+        return (end + 1, "") if end >= 0 else (at + 1, "<")
+
+
+def _names_chrome(name: str) -> bool:
+    parts = [w for w in re.split(r"[-_]+", name.lower()) if w]
+    return bool(parts) and (parts[-1] in CHROME_NAMES
+                            or parts[0] in CHROME_NAMES and all(w in CONTAINERS for w in parts[1:]))
 
 
 def _part(name: str, attributes: str, in_article: bool) -> int | None:
-    """CHROME or ARTICLE if an element says what it is."""
+    """What an element says it is: CHROME, ARTICLE, or WORD (chrome by a class or id word)."""
     if name in SKIP or name == "header" and not in_article:
         return CHROME
     found = {}
@@ -79,72 +137,107 @@ def _part(name: str, attributes: str, in_article: bool) -> int | None:
         found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
         names = f"{found.get('class', '')} {found.get('id', '')}"
         role = found.get("role", "").lower()
-        if MAIN_NAMES.search(names) or role == "main" or found.get("itemprop", "").lower() == "articlebody":
-            return ARTICLE
-        if name not in ("body", "html") and (
-                role in CHROME_ROLES or any(w.lower() in CHROME_NAMES for w in _NAME.findall(names))):
-            return CHROME
         if "hidden" in found or found.get("aria-hidden") == "true":
             return CHROME
+        if MAIN_NAMES.search(names) or role == "main" or found.get("itemprop", "").lower() == "articlebody":
+            return ARTICLE
+        if name in MARKS:
+            return WORD if any(w.lower() in CHROME_NAMES for w in names.split()) else ARTICLE
+        if name not in ("body", "html"):
+            if role in CHROME_ROLES:
+                return CHROME
+            if any(_names_chrome(w) for w in names.split()):
+                return WORD
     return ARTICLE if name in MARKS else None
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
     """(kind, text) of a page's blocks in order; texts without markup, white space as is."""
-    out: list[tuple[int, str]] = []
+    out: list[tuple[bool, bool, bool, bool, str]] = []
     held: list[str] = []
-    stack: list[tuple[str, int]] = []  # open elements with the kind of text inside them
-    kind = OPEN
+    # Open elements with the state inside them: (chrome, in an article, in chrome by a word,
+    # in an article inside of that).
+    stack: list[tuple[str, tuple[bool, bool, bool, bool]]] = []
+    open_names: Counter[str] = Counter()
+    outside = (False, False, False, False)
+    state = outside
+    scan = _Scanner(page)
 
     def close_block():
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                out.append((kind, text))
+                out.append((*state, text))
             held.clear()
 
+    def enter(new):
+        nonlocal state
+        if new != state:
+            close_block()
+            state = new
+
+    def pop():
+        open_names[stack.pop()[0]] -= 1
+
     at = 0
-    while (m := _TAG.search(page, at)) is not None:
-        if m.start() > at:
-            held.append(page[at:m.start()])
-        at = m.end()
-        if m[3] is None:
-            if m[1]:
-                held.append(html.escape(m[1]))
+    while (lt := page.find("<", at)) >= 0:
+        if lt > at:
+            held.append(page[at:lt])
+        m = _OPEN.match(page, lt)
+        if m is None:
+            if page[lt + 1:lt + 2] in ("!", "?"):
+                at, text = scan.skip(lt)
+                held.append(html.escape(text))
+            else:
+                held.append("&lt;")
+                at = lt + 1
             continue
-        name = m[3].lower()
-        if m[2]:
+        attributes_end, at = scan.tag_end(m.end())
+        attributes, name = page[m.end():attributes_end], m[2].lower()
+        if m[1]:
             if name in BLOCK:
                 close_block()
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if k is not None:
-                del stack[k:]
-                if (now := stack[-1][1] if stack else OPEN) != kind:
-                    close_block()
-                    kind = now
+            if open_names[name]:
+                while stack[-1][0] != name:
+                    pop()
+                pop()
+                enter(stack[-1][1] if stack else outside)
             continue
         if name in BLOCK:
             close_block()
             while stack and stack[-1][0] == "p" and name != "br":  # a block ends an open paragraph
-                stack.pop()
-            kind = stack[-1][1] if stack else OPEN
+                pop()
+            enter(stack[-1][1] if stack else outside)
         if name in VOID:
             continue
-        part = _part(name, m[4], kind == ARTICLE)
-        now = CHROME if kind == CHROME or part == CHROME else ARTICLE if kind == ARTICLE or part == ARTICLE else OPEN
-        if now != kind:
-            close_block()
-        if m[4].endswith("/"):
+        part = _part(name, attributes, state[1] or state[3])
+        chrome, article, word, inside = state
+        now = (chrome or part == CHROME, article or part == ARTICLE and not word, word or part == WORD,
+               inside and part != WORD or part == ARTICLE and word)
+        if attributes.endswith("/"):
+            if now != state:
+                close_block()
             continue
+        enter(now)
         stack.append((name, now))
-        kind = now
+        open_names[name] += 1
         if name in VERBATIM:  # no tags inside, and no text of the page
             end = VERBATIM[name].search(page, at)
             at = end.start() if end else len(page)
     if at < len(page):
         held.append(page[at:])
     close_block()
-    return out
+    # Words that hide all marked text are not believed about what holds it.
+    marked = any(article and not chrome and not word for chrome, article, word, _, _ in out)
+
+    def kind(chrome, article, word, inside):
+        if chrome:
+            return CHROME
+        if word:
+            return ARTICLE if inside and not marked else CHROME
+        return ARTICLE if article else OPEN
+
+    return [(kind(*flags), text) for *flags, text in out]
 
 
 def page_stream(page: str) -> tuple[str | None, list[str], list[bool], int]:
