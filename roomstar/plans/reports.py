@@ -11,7 +11,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomstar.functions import rank_label, safe_ratio
+from roomstar.functions import rank_label, safe_ratio, thousands
 from roomstar.operators import sketches
 from roomstar.operators.joins import maybe_broadcast, one_row
 from roomstar.plans.warehouse import Warehouse
@@ -26,6 +26,11 @@ def _dim(wh: Warehouse, name: str, *cols: str) -> DataFrame:
     return maybe_broadcast(wh.table(name).select(*cols), wh.rows.get(name))
 
 
+def model_rows_text(wh: Warehouse) -> DataFrame:
+    """G3 as the dashboard shows it: each model's rows with thousands separators."""
+    return wh.row_counts().select("model", thousands("rows").alias("rows_text"))
+
+
 def headline(wh: Warehouse) -> DataFrame:
     """Totals plus distinct users and rooms. Each distinct count is its own aggregation
     over one pruned column (pre-aggregated on the map side), instead of one Expand that

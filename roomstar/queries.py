@@ -247,6 +247,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{m: _model(m) for m in ["stg_events", "dim_date", "dim_room", "dim_user", "dim_gift",
                               "fact_live_engagement"]},
     "model_row_counts": lambda spark, sf: warehouse_for(spark, sf).row_counts(),
+    "model_rows_text": _report(reports.model_rows_text),
     "headline": _report(reports.headline),
     "engagement_mix": _report(reports.engagement_mix),
     "avg_ingest_lag": _report(reports.avg_ingest_lag),
