@@ -53,5 +53,6 @@ def in_order(docs: DataFrame, look_ahead: bool = False) -> DataFrame:
         rows = rows.withColumn("_to", F.explode(both)).select("_to.*", "doc_id", "text")
     else:
         rows = rows.withColumn("_to", here).select("_to.*", "doc_id", "text")
-    return rows.repartition(k, "_bucket").sortWithinPartitions(
+    # Bucket i is partition i: hashed, some tasks would get several buckets and others none.
+    return rows.repartitionById(k, F.col("_bucket").cast("int")).sortWithinPartitions(
         "_bucket", "_ahead", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())

@@ -3,6 +3,7 @@ as spans, and position-independent 64-bit hashes of any span of a buffer."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +54,18 @@ class _Powers:
 
 
 _POWERS = _Powers()
+KEPT_POWERS = 1 << 20
+_malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give freed memory back to the system. A Python worker lives on for later stages, beside the
+    executor's JVM, and would else keep what its largest batch took."""
+    if len(_POWERS.up) > KEPT_POWERS:
+        _POWERS.up, _POWERS.down = _POWERS.up[:KEPT_POWERS].copy(), _POWERS.down[:KEPT_POWERS].copy()
+    pa.default_memory_pool().release_unused()
+    if _malloc_trim is not None:
+        _malloc_trim(0)
 
 
 class SpanHash:
@@ -90,7 +103,7 @@ def from_texts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 def slices(batches: Iterator[pa.RecordBatch], column: str,
            limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of whole rows with about ``limit`` bytes of ``column`` each; a
-    longer text is a run of its own."""
+    longer text is a run of its own. When the batches end, the task's memory is given back."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -99,6 +112,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
         cuts = np.flatnonzero(np.diff(run)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
             yield batch.slice(a, b - a)
+    release()
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
