@@ -10,7 +10,7 @@ from conftest import SF001
 
 import __spark_entry__ as entry_mod
 
-TABLES = ["events", "orders"]
+TABLES = ["events", "orders", "documents", "benchmark", "embeddings"]
 SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
