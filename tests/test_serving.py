@@ -1,6 +1,5 @@
 """Serving layout, month pruning, rollup merge, formatting helpers."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001

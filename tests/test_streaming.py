@@ -191,6 +191,23 @@ def test_windows_with_rocksdb_state(spark, scratch):
             spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
 
 
+def test_state_is_in_rocksdb_off_local_mode_unless_set():
+    from types import SimpleNamespace
+
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    def provider(master, **conf):
+        spark = SimpleNamespace(sparkContext=SimpleNamespace(master=master), conf=Conf(conf))
+        job.default_state_store(spark)
+        return spark.conf.get(job.PROVIDER)
+
+    assert provider("yarn") == provider("spark://h:1") == job.ROCKSDB
+    assert provider("local[8]") is None
+    assert provider("yarn", **{job.PROVIDER: "own"}) == "own"
+
+
 def test_sliced_replay_equals_one_batch(spark, scratch):
     from conftest import SF001
     from roomstar.sources.lake import fixture_events
