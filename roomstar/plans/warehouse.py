@@ -22,6 +22,7 @@ from roomstar.functions import indicator, seconds_between
 from roomstar.operators.joins import maybe_broadcast
 from roomstar.plans.dimensions import dimensions
 from roomstar.schema import COMMENT, FACT, GIFT, JOIN, MODELS, NO_GIFT, STAGING
+from roomstar.session import partitions_for
 from roomstar.sinks.files import TARGET_ROWS_PER_FILE
 
 # ---------------------------------------------------------------- models
@@ -137,16 +138,18 @@ def build(spark: SparkSession, raw: DataFrame, base: str, gate: bool = True) ->
 
     build_id = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     path = f"{base.rstrip('/')}/builds/{build_id}"
-    cap = _rows_per_file(spark, raw.count())  # row count from Parquet footers
-    _write(staging(raw), f"{path}/{STAGING}", cap)
-    stg = spark.read.parquet(f"{path}/{STAGING}")
-    dims, dim_rows = dimensions(stg, f"{path}/_natural_keys")
-    side_by_side(spark, [lambda name=name, dim=dim: _write(dim, f"{path}/{name}") for name, dim in dims.items()])
+    events = raw.count()  # from Parquet footers
+    cap = _rows_per_file(spark, events)
     wh = Warehouse(spark, path)
-    _write(fact(stg, wh.dims(), dim_rows), f"{path}/{FACT}", cap)
-    side_by_side(spark, [
-        lambda: _write(_count_models(spark, path), f"{path}/_model_row_counts"),
-        lambda: _write(quality_report(wh.table(STAGING), wh.table(FACT), wh.dims(), dim_rows), f"{path}/_quality")])
+    with partitions_for(spark, events):
+        _write(staging(raw), f"{path}/{STAGING}", cap)
+        stg = spark.read.parquet(f"{path}/{STAGING}")
+        dims, dim_rows = dimensions(stg, f"{path}/_natural_keys")
+        side_by_side(spark, [lambda name=name, dim=dim: _write(dim, f"{path}/{name}") for name, dim in dims.items()])
+        _write(fact(stg, wh.dims(), dim_rows), f"{path}/{FACT}", cap)
+        side_by_side(spark, [
+            lambda: _write(_count_models(spark, path), f"{path}/_model_row_counts"),
+            lambda: _write(quality_report(wh.table(STAGING), wh.table(FACT), wh.dims(), dim_rows), f"{path}/_quality")])
     wh.rows = {r["model"]: r["rows"] for r in wh.row_counts().collect()}
     failed = wh.table("_quality").where(F.col("status") == "FAIL").count()
     if gate and failed:
