@@ -28,6 +28,7 @@ from roomstar.operators import bitmaps, sketches
 from roomstar.operators.joins import fits_broadcast, maybe_broadcast
 from roomstar.plans.warehouse import Warehouse, side_by_side
 from roomstar.schema import COUNTRY_USERS, FACT, GIFT_TIERS, OLAP_DETAIL, ROOM_DAILY, ROOM_USERS
+from roomstar.session import partitions_for
 from roomstar.sinks import states
 from roomstar.sinks.files import delete, files_for, write_partitioned_sorted
 
@@ -155,7 +156,8 @@ def load(wh: Warehouse, base: str, load_id: int = 0) -> Serving:
     """Full refresh of the serving layer from a published warehouse build."""
     num_files = files_for(wh.spark, wh.rows.get(FACT))
     rows, in_ranges = detail_rows(wh, num_files)
-    return refresh(wh.spark, rows, base, load_id, num_files, in_ranges)
+    with partitions_for(wh.spark, wh.rows.get(FACT, 0)):
+        return refresh(wh.spark, rows, base, load_id, num_files, in_ranges)
 
 
 # ---------------------------------------------------------------- month pruning

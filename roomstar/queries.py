@@ -18,8 +18,8 @@ from roomstar.functions.types import ntz_times
 from roomstar.plans import quality, reports, serving, warehouse
 from roomstar.operators import sketches
 from roomstar.operators.joins import maybe_broadcast
-from roomstar.schema import ARRIVAL_SLICES, ARRIVAL_WATERMARK, METRICS_SCHEMA, WINDOW
-from roomstar.session import configure, work_dir
+from roomstar.schema import ARRIVAL_SLICES, ARRIVAL_WATERMARK, FACT, METRICS_SCHEMA, WINDOW
+from roomstar.session import configure, partitions_for, work_dir
 from roomstar.sinks import states as state_store
 from roomstar.sinks.events import to_json_lines
 from roomstar.sources.lake import driver_table, fixture_events, read_lake, read_parquet_dir
@@ -166,11 +166,12 @@ def multi_load_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     again with only a part of its rows and then as a whole; sums and exact users are merged from the states."""
     rows = serving_for(spark, sf_dir).detail()
     part = F.pmod(F.xxhash64("room_id", "user_id"), F.lit(3))
-    s = serving.refresh(spark, rows.where(part == 0), work_dir(spark))
-    serving.append(s, rows.where(part == 1), 1)
-    serving.append(s, rows.where((part == 1) & (F.col("coins") > 0)), 1)
-    serving.append(s, rows.where(part == 1), 1)
-    serving.append(s, rows.where(part == 2), 2)
+    with partitions_for(spark, warehouse_for(spark, sf_dir).rows[FACT]):
+        s = serving.refresh(spark, rows.where(part == 0), work_dir(spark))
+        serving.append(s, rows.where(part == 1), 1)
+        serving.append(s, rows.where((part == 1) & (F.col("coins") > 0)), 1)
+        serving.append(s, rows.where(part == 1), 1)
+        serving.append(s, rows.where(part == 2), 2)
     merged = stream_rollup.merged(s.rollup()).withColumnRenamed("users", "_estimate")
     return _with_check(merged.join(serving.exact_users(s, "event_date", "room_id"), ["event_date", "room_id"]))
 

@@ -4,8 +4,8 @@ import pytest
 from conftest import SF01
 from pyspark.sql import functions as F
 
-from roomstar import session
-from roomstar.plans import warehouse
+from roomstar import queries, session
+from roomstar.plans import serving, warehouse
 from roomstar.sources.lake import fixture_events
 
 
@@ -35,6 +35,18 @@ def test_fact_tasks_do_not_grow_with_the_table(spark, scratch, small_tasks):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
 
 
+def test_tasks_of_many_loads_do_not_grow_with_the_table(spark, small_tasks, monkeypatch):
+    places = []
+    refresh = serving.refresh
+    monkeypatch.setattr(serving, "refresh", lambda *a, **b: places.append(refresh(*a, **b)) or places[-1])
+    monkeypatch.setattr(queries, "_BUILDS", {})
+    monkeypatch.setattr(queries, "_SERVING", {})
+    assert queries.multi_load_rollup(spark, SF01).count() == 1497
+    for load in range(3):
+        rows, files = largest_task(spark, f"{places[-1].path}/olap_detail/writer=load/load_id={load}")
+        assert rows < 1000 and files > 20
+
+
 def test_settings_of_the_submitter_are_kept(spark, monkeypatch):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(key, "64m")
