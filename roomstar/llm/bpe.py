@@ -22,6 +22,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -207,11 +208,11 @@ class Encoder:
             ids.append(np.array(enc.ids, np.uint32))
             count[lo:lo + len(part)] = np.bincount(np.array(enc.word_ids, np.int64), minlength=len(part))
         at = len(self._pool) + np.concatenate([[0], np.cumsum(count)[:-1]])
-        self._pool = np.concatenate([self._pool, *ids])
         where = np.searchsorted(self._keys, keys)
-        self._keys = np.insert(self._keys, where, keys)
-        self._at = np.insert(self._at, where, at)
-        self._len = np.insert(self._len, where, count)
+        # All at once: an encoder may outlive a task that fails here.
+        self._pool, self._keys, self._at, self._len = (
+            np.concatenate([self._pool, *ids]), np.insert(self._keys, where, keys),
+            np.insert(self._at, where, at), np.insert(self._len, where, count))
 
     def _starts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte positions where pre-tokens and added tokens start, and of all code points + end."""
@@ -281,6 +282,13 @@ class Encoder:
         return ids, at, (lo, hi)
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(spec: str) -> Encoder:
+    """The encoder of a Python worker, kept with its bounded cache from one task to the next: words
+    that a task has met are not encoded again by those after it."""
+    return Encoder(spec)
+
+
 def token_bytes(tok) -> list[bytes]:
     """id -> bytes, by the reversed byte table."""
     back = {c: b for b, c in enumerate(byte_chars())}

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomstar.llm.bpe import Encoder
+from roomstar.llm.bpe import worker_encoder
 from roomstar.llm.columns import id_and_text
 from roomstar.llm.order import in_order
 from roomstar.llm.text import slices
@@ -137,7 +137,7 @@ def write_shards(docs: DataFrame, spec: str, path: str, end_id: int = 2, vocabul
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches):
-        encoder = Encoder(shared.value)
+        encoder = worker_encoder(shared.value)
         bucket, part, start = None, 0, 0
         held: list[tuple[np.ndarray, np.ndarray, list]] = []  # ids, lengths, document ids
 
