@@ -16,13 +16,14 @@ from roomstar.session import configure, small_batches, work_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MIN_LANGUAGE_SCORE = 0.5
+BATCH_BYTES = 1 << 20  # of Arrow batches: executors keep the memory of one stage beside the next
 NEAR_PERCENT = 80  # similarity of near copies; op10's contract asks for 85 in its own query
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text has a language: not null, with letters, and at least as likely as all
     other languages together. Learns from the labelled rows outside the held-out fold."""
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 != 1, F.lit(True))
     model = language.learn(docs, fold)
     return (language.predict(docs, model, keep=COLUMNS)
@@ -33,7 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of near-duplicates (similarity NEAR_PERCENT or more): that of its smallest id. Rows that repeat an
     id and a text stay once; rows without an id are not told apart and stay."""
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     found = near_dedup.classes(docs, NEAR_PERCENT).checkpoint()
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct().checkpoint()
     kept = maybe_broadcast(kept, kept.count())
@@ -48,7 +49,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, their texts without the bytes that repeat earlier documents (a character of
     which only a part is left goes too; null texts stay null); n_chars counts the rest."""
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     return (suffix_dedup.remove_repeats(docs.withColumn("had_text", F.col("text").isNotNull()),
                                         keep=("lang", "source", "had_text"), as_text=True)
             .select("doc_id", F.when(F.col("had_text"), F.col("kept")).alias("text"), "lang", "source")
@@ -57,7 +58,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the contamination rule does not catch."""
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return (decontaminate.overlaps(docs, benchmark, keep=COLUMNS)
             .where(~decontaminate.contaminated()).select(*COLUMNS))
@@ -71,7 +72,7 @@ def _spec() -> str:
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` of every row, checked by decoding: ``exact`` is whether the ids
     give the text's bytes again."""
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     coded = bpe.encode(docs, _spec(), keep=("text",), with_bytes=True)
     same = F.coalesce(F.col("text"), F.lit("")).cast("binary") == F.col("decoded")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("exact"))

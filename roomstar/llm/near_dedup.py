@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from roomstar.llm.columns import id_and_text
 from roomstar.llm.components import components
-from roomstar.llm.text import U64, SpanHash, lower_ascii, mix, per_text, slices, spans, utf8
+from roomstar.llm.text import U64, SpanHash, lower_ascii, mix, per_text, pieces, slices, spans, utf8
 from roomstar.operators.joins import maybe_broadcast
 from roomstar.session import checkpoint_dir, work_dir
 
@@ -260,7 +260,10 @@ def _roots(near: np.ndarray) -> np.ndarray:
 def _block_links(threshold_percent: int):
     """Compare all texts of one block pair; a star of links for each class found in it."""
     def run(table: pa.Table) -> pa.Table:
-        h, at = shingles(table.column("text"))
+        # Piece by piece: what hashing takes beside the hashes is many times the text.
+        parts = [shingles(part.column("text")) for part in pieces(table.to_batches(), "text")]
+        h = np.concatenate([p[0] for p in parts])
+        at = np.append(0, np.cumsum(np.concatenate([np.diff(p[1]) for p in parts])))
         size = np.diff(at).astype(np.float32)
         shared = _overlaps(h, at)
         near = 100 * shared >= threshold_percent * (size[:, None] + size[None, :] - shared)
